@@ -18,6 +18,11 @@ def clean(c: Column) -> Column:
     return F.when((F.trim(c) == "") | (c == "null"), F.lit(None)).otherwise(c)
 
 
+def without_nothings(m: Column) -> Column:
+    """A text map without the keys whose value spells "nothing"."""
+    return F.map_filter(m, lambda _, v: (F.trim(v) != "") & (v != "null"))
+
+
 def is_present(c: Column) -> Column:
     """True unless null, "null" or one blank; the empty string counts as present."""
     return c.isNotNull() & ~c.isin("null", " ")
@@ -46,9 +51,13 @@ def compact_date(c: Column) -> Column:
 
 def declared_date(c: Column) -> Column:
     """DATE from yyyy-MM-dd (padded or not) or yyyyMMdd; NULL if it is no date."""
-    return F.coalesce(
-        F.try_to_date(c, "yyyy-M-d"), F.try_to_date(c, "yyyyMMdd")
+    compact = F.concat_ws(
+        "-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2)
+    )
+    written = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), c).when(
+        c.rlike(r"^\d{8}$"), compact
     )
+    return written.try_cast("date")
 
 
 def int_or_null(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordwash.functions.extract import filled_reason
-from recordwash.functions.normalize import case_number, clean, int_or_null
+from recordwash.functions.normalize import case_number, clean, int_or_null, without_nothings
 from recordwash.operators.once import evaluated_once
 from recordwash.schema import RECORD_FIELDS
 
@@ -21,23 +21,22 @@ def keep_enveloped(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def lookup(parsed: Column, key: str) -> Column:
-    """Cleaned value of a key, else of its all-lower-case spelling."""
-    found = clean(parsed[key])
+    """Value of a key, else of its all-lower-case spelling."""
     if key == key.lower():
-        return found
-    return F.coalesce(found, clean(parsed[key.lower()]))
+        return parsed[key]
+    return F.coalesce(parsed[key], parsed[key.lower()])
 
 
 def parse_json(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add `parsed` (key -> text) and `reject_reason`; a bad message keeps its row.
 
     A map and not a struct: struct fields that differ by case only are ambiguous. Nested
-    values arrive as JSON text.
+    values arrive as JSON text; keys whose value spells "nothing" are left out.
     """
     text = F.col(value)
     enveloped = F.when(in_envelope(text), text)
-    df = evaluated_once(messages, "parsed", F.from_json(enveloped, "map<string,string>"))
-    return df.withColumn(
+    parsed = without_nothings(F.from_json(enveloped, "map<string,string>"))
+    return evaluated_once(messages, "parsed", parsed).withColumn(
         "reject_reason",
         F.when(~in_envelope(text), "not a JSON object")
         .when(F.col("parsed").isNull(), "malformed JSON"),

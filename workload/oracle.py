@@ -66,13 +66,9 @@ def _doctype_in(c: str) -> str:
 
 
 def _date_in(c: str) -> str:
-    digit = "[〇○Ｏ零一二三四五六七八九][\\s　]*"
-    numeral = "[一二三四五六七八九十][\\s　]*"
-    found = (
-        f"nullif(regexp_extract({c}, "
-        f"'(?:{digit}){{4}}年[\\s　]*(?:{numeral}){{1,3}}月[\\s　]*(?:{numeral}){{1,3}}日'), '')"
-    )
-    w = f"regexp_replace({found}, '[\\s　]', '', 'g')"
+    numeral = "[一二三四五六七八九十]{1,3}"
+    pattern = f"[〇○Ｏ零一二三四五六七八九]{{4}}年{numeral}月{numeral}日"
+    w = f"nullif(regexp_extract(regexp_replace({c}, '[ 　\\t\\n\\r]', '', 'g'), '{pattern}'), '')"
 
     def number(part: str) -> str:
         return f"lpad(cast(list_position([{_NUMERALS}], {part}) AS string), 2, '0')"

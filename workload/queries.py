@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordwash.functions import extract, normalize
 from recordwash.operators import dedup, fields, history, offsets, parse, rules, words
+from recordwash.operators.once import evaluated_once
 from recordwash.plans.delimited import clean_delimited, delimited_job
 from recordwash.plans.staging import Staging
 from recordwash.plans.store import Store
@@ -66,8 +67,12 @@ def status_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sparse_field_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = parse.parse_json(parse.keep_enveloped(messages(spark, sf_dir)))
-    columns = [F.col("parsed")[f].alias(f) for f in RECORD_FIELDS]
+    raw = evaluated_once(
+        parse.keep_enveloped(messages(spark, sf_dir)),
+        "raw",
+        F.from_json("value", "map<string,string>"),
+    )
+    columns = [F.col("raw")[f].alias(f) for f in RECORD_FIELDS]
     return fields.present_counts(raw.select(*columns), RECORD_FIELDS)
 
 
