@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recordwash.functions.let import let, unless_empty
 from recordwash.functions.normalize import case_number, clean
 from recordwash.functions.reasons import REASON_KEYWORDS, TITLE_KEYWORDS
 
@@ -29,7 +30,7 @@ def _numerals(upto: int) -> dict[str, int]:
 
 
 def _first(c: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, 0), F.lit(""))
+    return unless_empty(F.regexp_extract(c, pattern, 0))
 
 
 def _without_blanks(c: Column) -> Column:
@@ -62,22 +63,22 @@ def _around_year_marks(text: Column) -> Column:
     A class of scattered characters is slow to try at every position of a long text. The
     pattern reaches a fixed way to either side of 年, so nothing is lost by looking there.
     """
-    pieces = F.split(text, "年")
-    following = F.slice(pieces, F.lit(2), F.size(pieces))
-    near = F.zip_with(
-        pieces,
-        following,
-        lambda a, b: F.concat(
-            F.right(a, F.lit(DATE_BEFORE_YEAR_MARK)), F.lit("年"),
-            F.left(b, F.lit(DATE_AFTER_YEAR_MARK)),
+
+    def around(before: Column, after: Column) -> Column:
+        return F.concat(
+            F.right(before, F.lit(DATE_BEFORE_YEAR_MARK)), F.lit("年"),
+            F.left(after, F.lit(DATE_AFTER_YEAR_MARK)),
+        )
+
+    return let(
+        F.split(text, "年"),
+        lambda pieces: F.array_join(
+            F.zip_with(pieces, F.slice(pieces, F.lit(2), F.size(pieces)), around), "\n"
         ),
     )
-    return F.array_join(near, "\n")
 
 
-def judgement_date_in(text: Column) -> Column:
-    """First date written in Chinese numerals, as DATE; NULL if it cannot exist."""
-    written = _first(_around_year_marks(_without_blanks(text)), DATE_PATTERN)
+def _date_from(written: Column) -> Column:
     numeral = F.create_map(*[F.lit(x) for kv in _numerals(31).items() for x in kv])
     year = F.translate(F.left(written, F.lit(4)), DIGITS, DIGIT_VALUES)
     month = F.substring_index(F.substring_index(written, "年", -1), "月", 1)
@@ -89,6 +90,12 @@ def judgement_date_in(text: Column) -> Column:
     ).try_cast("date")
 
 
+def judgement_date_in(text: Column) -> Column:
+    """First date written in Chinese numerals, as DATE; NULL if it cannot exist."""
+    near = _around_year_marks(_without_blanks(text))
+    return let(F.regexp_extract(near, DATE_PATTERN, 0), _date_from)
+
+
 def _any_of(words: list[str]) -> str:
     # Longest first, so that a word is never cut short by one it starts with.
     return "|".join(sorted(dict.fromkeys(words), key=lambda w: (-len(w), w)))
@@ -100,7 +107,7 @@ TITLE_PATTERN = _any_of(TITLE_KEYWORDS)
 
 def _all(c: Column, pattern: str) -> Column:
     hits = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    return F.nullif(F.array_join(hits, ","), F.lit(""))
+    return unless_empty(F.array_join(hits, ","))
 
 
 def reason_in(title: Column) -> Column:

@@ -66,11 +66,12 @@ def int_or_null(c: Column) -> Column:
 
 def _unambiguous(values: Sequence[Column]) -> Column:
     # Length prefixes keep ("ab", "c") and ("a", "bc") apart whatever the values hold.
-    texts = [v.cast("string") for v in values]
-    return F.concat(*[
-        F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-"))
-        for t in texts
-    ])
+    texts = F.array(*[v.cast("string") for v in values])
+    sized = F.transform(
+        texts,
+        lambda t: F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")),
+    )
+    return F.array_join(sized, "")
 
 
 def row_key(values: Sequence[Column]) -> Column:

@@ -98,7 +98,7 @@ def check_notes() -> Column:
     notes = F.concat_ws(",", *[
         F.when(F.col(f"{c}.code") != 1, F.col(f"{c}.label")) for c in CHECKS
     ])
-    return F.nullif(notes, F.lit(""))
+    return F.when(notes != "", notes)
 
 
 def judge(records: DataFrame, court_match: str = "exact") -> DataFrame:
