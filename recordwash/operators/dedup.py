@@ -57,7 +57,7 @@ def later_copies(
 ) -> DataFrame:
     """Every row that is not the first of its group."""
     firsts = first_of_group(df, keys, order, row_id).select(*row_id)
-    return df.join(firsts, row_id, "left_anti")
+    return df.join(firsts, row_id, "left_anti").select(*df.columns)
 
 
 def duplicate_groups(

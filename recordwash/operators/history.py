@@ -35,14 +35,16 @@ def hits(
     batch: DataFrame, history: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Batch rows already known; each once, however often history holds the key."""
-    return batch.join(known_keys(history, batch, keys, broadcast_rows), keys, "left_semi")
+    known = known_keys(history, batch, keys, broadcast_rows)
+    return batch.join(known, keys, "left_semi").select(*batch.columns)
 
 
 def misses(
     batch: DataFrame, history: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Batch rows not known. A null key matches nothing, so its row is new."""
-    return batch.join(known_keys(history, batch, keys, broadcast_rows), keys, "left_anti")
+    known = known_keys(history, batch, keys, broadcast_rows)
+    return batch.join(known, keys, "left_anti").select(*batch.columns)
 
 
 def hits_fanned_out(
