@@ -23,10 +23,16 @@ DATE_AFTER_YEAR_MARK = 8
 TEXT_BLANKS = [" ", "　", "\t", "\n", "\r"]
 
 
-def _numerals(upto: int) -> dict[str, int]:
+def _numerals(upto: int) -> list[str]:
     units = ["", *"一二三四五六七八九"]
     tens = ["", "十", "二十", "三十"]
-    return {tens[n // 10] + units[n % 10]: n for n in range(1, upto + 1)}
+    return [tens[n // 10] + units[n % 10] for n in range(1, upto + 1)]
+
+
+def _value(numeral: Column) -> Column:
+    """1 to 31 as text; 0 for anything else."""
+    known = F.split(F.lit(",".join(_numerals(31))), ",")
+    return F.array_position(known, numeral).cast("string")
 
 
 def _first(c: Column, pattern: str) -> Column:
@@ -79,15 +85,11 @@ def _around_year_marks(text: Column) -> Column:
 
 
 def _date_from(written: Column) -> Column:
-    numeral = F.create_map(*[F.lit(x) for kv in _numerals(31).items() for x in kv])
     year = F.translate(F.left(written, F.lit(4)), DIGITS, DIGIT_VALUES)
     month = F.substring_index(F.substring_index(written, "年", -1), "月", 1)
     day = F.substring_index(F.substring_index(written, "月", -1), "日", 1)
-    # concat gives NULL if any part is unknown, such as 二二月.
-    return F.concat(
-        year, F.lit("-"), F.element_at(numeral, month).cast("string"),
-        F.lit("-"), F.element_at(numeral, day).cast("string"),
-    ).try_cast("date")
+    # A numeral such as 二二 is month 0, which is no date.
+    return F.concat_ws("-", year, _value(month), _value(day)).try_cast("date")
 
 
 def judgement_date_in(text: Column) -> Column:

@@ -5,14 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordwash.functions.normalize import clean, is_present
-from recordwash.schema import MATCH_FAMILY, OTHER_FAMILY, RECORD_SCHEMA
-
-
-def sparse(records: DataFrame) -> DataFrame:
-    """NULL wherever a text field holds nothing, so that it is not stored."""
-    texts = [f.name for f in RECORD_SCHEMA if f.dataType.simpleString() == "string"]
-    return records.withColumns({f: clean(F.col(f)) for f in texts if f in records.columns})
+from recordwash.functions.normalize import is_present
+from recordwash.schema import MATCH_FAMILY, OTHER_FAMILY
 
 
 def family_view(records: DataFrame, keep: list[str]) -> DataFrame:

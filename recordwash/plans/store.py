@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from recordwash.operators.fields import family_view
 from recordwash.schema import (
-    PROGRESS_SCHEMA, REJECT_SCHEMA, STORED_SCHEMA, WORD_COUNT_SCHEMA,
+    DUPLICATES, MAIN, PROGRESS_SCHEMA, REJECT_SCHEMA, REVIEW, STORED_SCHEMA, WORD_COUNT_SCHEMA,
 )
 
 TABLES = {
@@ -62,10 +62,15 @@ class Store:
         """Stored records with their columns in the two families, keyed by row."""
         return family_view(self.records(dest), ["row_key"])
 
+    def create_views(self, prefix: str = "") -> None:
+        """Temporary views main, duplicates and review, for SQL text."""
+        for dest in (MAIN, DUPLICATES, REVIEW):
+            self.records(dest).createOrReplaceTempView(prefix + dest)
+
     def history(self, run: str, batch_id: int) -> DataFrame:
         """Match keys of main, without this batch's own rows of an earlier attempt."""
         own: Column = (F.col("run") == run) & (F.col("batch_id") >= batch_id)
-        return self.records("main").where(~own).select("match_key")
+        return self.records(MAIN).where(~own).select("match_key")
 
     def write_batch(self, df: DataFrame, table: str, run: str, batch_id: int) -> None:
         inner = [p for p in PARTITIONS.get(table, BATCH) if p not in BATCH]

@@ -16,17 +16,18 @@ from recordwash.operators.history import BROADCAST_ROWS, hits
 from recordwash.operators.parse import parse_records
 from recordwash.operators.rules import judge
 from recordwash.plans.staging import Staging
-from recordwash.schema import POSITION, RECORD_FIELDS
-
-MAIN, DUPLICATES, REVIEW = "main", "duplicates", "review"
-
+from recordwash.schema import DUPLICATES, MAIN, POSITION, RECORD_FIELDS, REVIEW
 
 @dataclass
 class Washed:
-    """`records` has a `dest` (main / duplicates / review); `rejects` could not be read."""
+    """`records` has a `dest` (main / duplicates / review); `rejects` could not be read.
+
+    `positions` are those of every message that came in.
+    """
 
     records: DataFrame
     rejects: DataFrame
+    positions: DataFrame
 
     def table(self, dest: str) -> DataFrame:
         return self.records.where(F.col("dest") == dest)
@@ -142,4 +143,4 @@ def wash(
     rejects = everything.where(F.col("reject_reason").isNotNull()).select(
         *POSITION, "value", "reject_reason"
     )
-    return Washed(records, rejects)
+    return Washed(records, rejects, everything.select(*POSITION))

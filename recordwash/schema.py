@@ -15,6 +15,9 @@ RECORD_FIELDS = [
 MATCH_FAMILY = ["caseNumber", "court", "title", "reason"]
 OTHER_FAMILY = [f for f in RECORD_FIELDS if f not in MATCH_FAMILY]
 
+# Where the wash sends a record.
+MAIN, DUPLICATES, REVIEW = "main", "duplicates", "review"
+
 # The eight positions of a pipe-delimited line.
 DELIMITED_FIELDS = [
     "caseNumber", "title", "court", "reason",

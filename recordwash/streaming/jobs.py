@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,9 +27,14 @@ def _start(
 ) -> StreamingQuery:
     """Run `step(batch, run, batch_id)` on each non-empty micro-batch."""
 
+    runs: list[str] = []
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            step(batch, run_id(batch.sparkSession, checkpoint), batch_id)
+        if batch.isEmpty():
+            return
+        if not runs:
+            runs.append(run_id(batch.sparkSession, checkpoint))
+        step(batch, runs[0], batch_id)
 
     return (
         source.writeStream.foreachBatch(on_batch)
@@ -37,6 +44,16 @@ def _start(
     )
 
 
+@contextmanager
+def _kept(batch: DataFrame) -> Iterator[None]:
+    """Read the source once for several uses; lost blocks are read again."""
+    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        batch.unpersist()
+
+
 def save_progress(
     store: Store, batch: DataFrame, group_id: str, run: str, batch_id: int
 ) -> None:
@@ -71,7 +88,7 @@ def start_wash(
             washed = wash(batch, store.history(run, batch_id), staging, **options)
             store.write_batch(washed.records, "records", run, batch_id)
             store.write_batch(washed.rejects, "rejects", run, batch_id)
-        save_progress(store, batch, group_id, run, batch_id)
+            save_progress(store, washed.positions, group_id, run, batch_id)
 
     return _start(source, checkpoint, trigger or EVERY_5_SECONDS, step)
 
@@ -89,8 +106,9 @@ def start_word_count(
 
     def step(batch: DataFrame, run: str, batch_id: int) -> None:
         store = Store(batch.sparkSession, root)
-        store.write_batch(word_count(batch), "word_counts", run, batch_id)
-        save_progress(store, batch, group_id, run, batch_id)
+        with _kept(batch):
+            store.write_batch(word_count(batch), "word_counts", run, batch_id)
+            save_progress(store, batch, group_id, run, batch_id)
 
     return _start(source, checkpoint, trigger or EVERY_5_SECONDS, step)
 
@@ -108,7 +126,9 @@ def start_echo(
     Store(source.sparkSession, root).create("progress")
 
     def step(batch: DataFrame, run: str, batch_id: int) -> None:
-        batch.select("topic", "partition", "offset", "value").show(rows)
-        save_progress(Store(batch.sparkSession, root), batch, group_id, run, batch_id)
+        store = Store(batch.sparkSession, root)
+        with _kept(batch):
+            batch.select("topic", "partition", "offset", "value").show(rows)
+            save_progress(store, batch, group_id, run, batch_id)
 
     return _start(source, checkpoint, trigger or EVERY_5_SECONDS, step)

@@ -128,6 +128,16 @@ def test_batch_job_replay_changes_nothing(spark, tmp_path):
     assert main.select("row_key").distinct().count() == 4
 
 
+def test_sql_over_the_stored_tables(spark, tmp_path):
+    wash_batch(stream_rows(spark, MESSAGES), str(tmp_path / "s"), 0)
+    Store(spark, str(tmp_path / "s")).create_views("case_")
+    known = spark.sql("""
+        SELECT d.offset FROM case_duplicates d LEFT JOIN case_main m
+        ON m.caseNumber = d.caseNumber AND m.court = d.court WHERE m.caseNumber IS NOT NULL
+    """)
+    assert {r["offset"] for r in known.collect()} == {1, 10, 12}
+
+
 def test_create_leaves_existing_tables_alone(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     store.create()

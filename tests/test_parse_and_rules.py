@@ -139,10 +139,3 @@ def test_families_hold_every_field_once(spark):
     assert sorted(names) == sorted(RECORD_FIELDS)
     row = view.first()
     assert row["match"]["title"] == "离婚纠纷" and row["other"]["status"] == 1
-
-
-def test_sparse_leaves_out_every_nothing(spark):
-    df = spark.createDataFrame([("null", " ", "x", 1)], "title string, court string, content string, status int")
-    assert fields.sparse(df).first().asDict() == {
-        "title": None, "court": None, "content": "x", "status": 1,
-    }

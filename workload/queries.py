@@ -154,6 +154,8 @@ def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def duplicate_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _clean(spark, sf_dir).select("k", *KEY, "title", "crawlDate", "status")
+    # Used twice below, so stored: the second use reads the key columns only.
+    rows = Staging(spark).store(rows, "clean")
     return dedup.group_members(rows, KEY, [], ["k"])
 
 
@@ -162,7 +164,7 @@ def batch_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _clean(spark, sf_dir).drop("check_notes")
+    rows = Staging(spark).store(_clean(spark, sf_dir).drop("check_notes"), "clean")
     return dedup.later_copies(rows, KEY, [], ["k"])
 
 
