@@ -9,7 +9,7 @@ from recordwash.functions.let import let, unless_empty
 from recordwash.functions.normalize import case_number, clean
 from recordwash.functions.reasons import REASON_KEYWORDS, TITLE_KEYWORDS
 
-# Text patterns. Portable regex only (no look-around, no back-reference).
+# Text patterns.
 COURT_PATTERN = "[一-龥]{2,}人民法院"
 CASE_NUMBER_PATTERN = r"[(（][21].*?[）)][一-龥]*\d*[一-龥]*\d*号"
 CASE_NUMBER_END = "&nbsp<br>"
@@ -17,10 +17,12 @@ CASE_TYPE_PATTERN = "[民刑]事"
 DOCUMENT_TYPE_PATTERN = r"(?:判[\s　]*决|裁[\s　]*定)[\s　]*书"
 DIGITS = "〇○Ｏ零一二三四五六七八九"
 DIGIT_VALUES = "0000123456789"
-DATE_PATTERN = f"[{DIGITS}]{{4}}年[一二三四五六七八九十]{{1,3}}月[一二三四五六七八九十]{{1,3}}日"
-DATE_BEFORE_YEAR_MARK = 4
-DATE_AFTER_YEAR_MARK = 8
-TEXT_BLANKS = [" ", "　", "\t", "\n", "\r"]
+BLANK = r"[\s　]"
+# 二〇一七年十二月七日 from its end to its beginning, blanks allowed anywhere inside.
+DATE_BACKWARDS = (
+    rf"日(?:{BLANK}*[一二三四五六七八九十]){{1,3}}{BLANK}*月"
+    rf"(?:{BLANK}*[一二三四五六七八九十]){{1,3}}{BLANK}*年(?:{BLANK}*[{DIGITS}]){{4}}"
+)
 
 
 def _numerals(upto: int) -> list[str]:
@@ -40,9 +42,7 @@ def _first(c: Column, pattern: str) -> Column:
 
 
 def _without_blanks(c: Column) -> Column:
-    for blank in TEXT_BLANKS:
-        c = F.replace(c, F.lit(blank), F.lit(""))
-    return c
+    return F.regexp_replace(c, BLANK, "")
 
 
 def court_in(text: Column) -> Column:
@@ -63,27 +63,6 @@ def document_type_in(text: Column) -> Column:
     return _without_blanks(_first(text, DOCUMENT_TYPE_PATTERN))
 
 
-def _around_year_marks(text: Column) -> Column:
-    """What stands around each 年 of the text, a line each.
-
-    A class of scattered characters is slow to try at every position of a long text. The
-    pattern reaches a fixed way to either side of 年, so nothing is lost by looking there.
-    """
-
-    def around(before: Column, after: Column) -> Column:
-        return F.concat(
-            F.right(before, F.lit(DATE_BEFORE_YEAR_MARK)), F.lit("年"),
-            F.left(after, F.lit(DATE_AFTER_YEAR_MARK)),
-        )
-
-    return let(
-        F.split(text, "年"),
-        lambda pieces: F.array_join(
-            F.zip_with(pieces, F.slice(pieces, F.lit(2), F.size(pieces)), around), "\n"
-        ),
-    )
-
-
 def _date_from(written: Column) -> Column:
     year = F.translate(F.left(written, F.lit(4)), DIGITS, DIGIT_VALUES)
     month = F.substring_index(F.substring_index(written, "年", -1), "月", 1)
@@ -93,9 +72,15 @@ def _date_from(written: Column) -> Column:
 
 
 def judgement_date_in(text: Column) -> Column:
-    """First date written in Chinese numerals, as DATE; NULL if it cannot exist."""
-    near = _around_year_marks(_without_blanks(text))
-    return let(F.regexp_extract(near, DATE_PATTERN, 0), _date_from)
+    """First date written in Chinese numerals, as DATE; NULL if it cannot exist.
+
+    Read backwards the pattern starts with one plain character, 日, and not with a class
+    of scattered ones, which is several times faster on a long text. A 年 belongs to one
+    date at most, so the last hit backwards is the first one forwards.
+    """
+    backwards = F.regexp_extract_all(F.reverse(text), F.lit(DATE_BACKWARDS), F.lit(0))
+    written = F.reverse(F.try_element_at(backwards, F.lit(-1)))
+    return let(_without_blanks(written), _date_from)
 
 
 def _any_of(words: list[str]) -> str:

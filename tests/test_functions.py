@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -138,3 +140,28 @@ def test_q14_row_key_is_stable_and_unambiguous(spark):
 def test_key_digest_is_never_null(spark):
     df = spark.createDataFrame([(None, None)], "a string, b string")
     assert len(df.select(normalize.key_digest([F.col("a"), F.col("b")])).first()[0]) == 32
+
+
+def test_first_of_many_dates_against_a_plain_search(apply):
+    pick = random.Random(5)
+    pieces = ["二〇一七", "一九九", "年", "月", "日", "十二", "三", " ", "　", "案", "\n", "二〇一六年三月一日"]
+    texts = ["".join(pick.choices(pieces, k=pick.randrange(1, 40))) for _ in range(300)]
+    plain = re.compile(
+        "([〇○Ｏ零一二三四五六七八九]{4})年([一二三四五六七八九十]{1,3})月([一二三四五六七八九十]{1,3})日"
+    )
+    units = ["", *"一二三四五六七八九"]
+    numerals = [["", "十", "二十", "三十"][n // 10] + units[n % 10] for n in range(32)]
+
+    def expected(text):
+        hit = plain.search(re.sub(r"[\s　]", "", text))
+        if not hit or hit[2] not in numerals or hit[3] not in numerals:
+            return None
+        year = int(hit[1].translate(str.maketrans("〇○Ｏ零一二三四五六七八九", "0000123456789")))
+        try:
+            return date(year, numerals.index(hit[2]), numerals.index(hit[3]))
+        except ValueError:
+            return None
+
+    found = apply(extract.judgement_date_in, texts)
+    assert found == [expected(t) for t in texts]
+    assert sum(f is not None for f in found) > 100
