@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from collections import Counter
 
 import pytest
@@ -50,7 +51,7 @@ MESSAGES = [
 
 
 def stream_rows(spark, values, start=0):
-    rows = [(v, "spider", 0, start + i, None) for i, v in enumerate(values)]
+    rows = [(v, "cases", 0, start + i, None) for i, v in enumerate(values)]
     return spark.createDataFrame(rows, MESSAGE_SCHEMA)
 
 
@@ -168,7 +169,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert run(checkpoint) == streamed
 
     starts = saved_starts(Store(spark, root), "wash")
-    assert starts == {"spider": {0: len(MESSAGES)}}
+    assert starts == {"cases": {0: len(MESSAGES)}}
 
     # A new checkpoint reads everything again: all known by now, nothing overwritten.
     main = Store(spark, root).records("main").count()
@@ -206,7 +207,7 @@ def test_stream_word_count_is_per_batch(spark, tmp_path):
     assert {(r["batch_id"], r["word"], r["n"]) for r in counts} == {
         (0, "a", 2), (0, "b", 1), (1, "a", 1),
     }
-    assert saved_starts(Store(spark, root), "words") == {"spider": {0: 11}}
+    assert saved_starts(Store(spark, root), "words") == {"cases": {0: 11}}
     assert saved_starts(Store(spark, root), "someone else") == {}
 
 
@@ -234,14 +235,14 @@ def test_upsert_replaces_by_key(spark):
 
 
 def test_kafka_options():
-    first = sources.kafka_options("h:9092", ["spider"], starting="latest", max_per_trigger=5000)
+    first = sources.kafka_options("h:9092", ["cases"], starting="latest", max_per_trigger=5000)
     assert first == {
-        "kafka.bootstrap.servers": "h:9092", "subscribe": "spider",
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "cases",
         "startingOffsets": "latest", "maxOffsetsPerTrigger": "5000",
     }
-    resumed = sources.kafka_options("h:9092", ["spider"], starting={"spider": {1: 8, 0: 7}})
-    assert json.loads(resumed["assign"]) == {"spider": [0, 1]}
-    assert json.loads(resumed["startingOffsets"]) == {"spider": {"0": 7, "1": 8}}
+    resumed = sources.kafka_options("h:9092", ["cases"], starting={"cases": {1: 8, 0: 7}})
+    assert json.loads(resumed["assign"]) == {"cases": [0, 1]}
+    assert json.loads(resumed["startingOffsets"]) == {"cases": {"0": 7, "1": 8}}
     assert "subscribe" not in resumed
 
 
@@ -283,3 +284,51 @@ def test_stored_records_have_every_field(spark, tmp_path):
     row = Store(spark, str(tmp_path / "s")).records("main").select(*RECORD_FIELDS).first()
     assert row["caseNumber"] == "(2017)渝1民初1号" and row["reason"] == "离婚纠纷"
     assert row["status"] is None
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_wash_against_brute_force_with_a_hot_case(spark, broadcast_rows):
+    pick = random.Random(11)
+    made = []
+    for i in range(400):
+        case = 0 if i % 3 == 0 else pick.randrange(60)
+        day = pick.choice(["null", "2018-01-01", "2018-01-02"])
+        values = message(f"（2017）渝1民初{case}号", crawlDate=day, sourceUrl=pick.choice("ab"))
+        made.append((i, case, day, values))
+    past, new = made[:80], made[80:]
+
+    def survivors(rows):
+        """Position of each case's first row among the distinct messages."""
+        firsts = {}
+        for i, case, day, _ in sorted(rows, key=lambda r: (r[2] == "null", r[2], r[0])):
+            firsts.setdefault(case, i)
+        return firsts
+
+    def distinct(rows):
+        seen = {}
+        for row in rows:
+            seen.setdefault(row[3], row)
+        return list(seen.values())
+
+    known, firsts = survivors(past), survivors(new)
+    expected = {}
+    for i, case, *_ in distinct(new):
+        if firsts[case] != i:
+            expected[i] = ("duplicates", "batch", 1)
+        elif case in known:
+            expected[i] = ("duplicates", "history", 1)
+        else:
+            expected[i] = ("main", None, 1)
+    assert {v[:2] for v in expected.values()} == {
+        ("main", None), ("duplicates", "batch"), ("duplicates", "history")
+    }
+
+    first = wash(stream_rows(spark, [r[3] for r in past]), None, Staging(spark))
+    second = wash(
+        stream_rows(spark, [r[3] for r in new], start=80).repartition(5),
+        first.table("main").select("match_key"),
+        Staging(spark),
+        broadcast_rows=broadcast_rows,
+    )
+    assert fates(second.records) == expected
+    assert second.records.count() == len(distinct(new))

@@ -139,3 +139,8 @@ def test_families_hold_every_field_once(spark):
     assert sorted(names) == sorted(RECORD_FIELDS)
     row = view.first()
     assert row["match"]["title"] == "离婚纠纷" and row["other"]["status"] == 1
+
+
+def test_the_first_of_a_repeated_key_counts(spark):
+    (row,) = parsed(spark, '{"title": "a", "title": "b"}')
+    assert row["title"] == "a"

@@ -71,18 +71,18 @@ FIRST_BATCH_YEAR = 1997
 def _derived(spark: SparkSession, sf_dir: str, query: str, name: str) -> DataFrame:
     """Rows derived from `orders`, written once per session like any source table.
 
-    A compact input file is one task, however much text is derived from its rows, so
-    rows are spread when there are fewer input splits than cores.
+    A compact input file is one task, however much text is derived from its rows, so the
+    rows are spread first when there are fewer input splits than cores.
     """
     known = (spark.sparkContext.applicationId, sf_dir, name)
     if known not in _STORED:
-        spark.read.parquet(f"{sf_dir}/orders.parquet").createOrReplaceTempView("orders")
-        rows = spark.sql(query)
+        orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
         cores = spark.sparkContext.defaultParallelism
-        if rows.rdd.getNumPartitions() < cores:
-            rows = rows.repartition(cores, "k")
+        if orders.rdd.getNumPartitions() < cores:
+            orders = orders.repartition(cores, "o_orderkey")
+        orders.createOrReplaceTempView("orders")
         staging = Staging(spark)
-        staging.store(rows, name)
+        staging.store(spark.sql(query), name)
         _STORED[known] = staging.path(name)
     return spark.read.parquet(_STORED[known])
 
@@ -112,7 +112,7 @@ def as_stream_rows(messages: DataFrame) -> DataFrame:
     """The source contract: value, topic, partition, offset, timestamp."""
     return messages.select(
         "value",
-        F.lit("spider").alias("topic"),
+        F.lit("cases").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("k").alias("offset"),
         F.lit(None).cast("timestamp").alias("timestamp"),

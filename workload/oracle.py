@@ -300,7 +300,7 @@ ORACLE_SQL: dict[str, str] = {
       WHERE word <> '' GROUP BY word""",
     "offset_ranges": _EVENT_RANGES,
     "offset_upsert": f"""WITH r AS ({_EVENT_RANGES})
-      SELECT 'gro' AS group_id, topic, part, arg_max(until_offset, day) AS until_offset,
+      SELECT 'readers' AS group_id, topic, part, arg_max(until_offset, day) AS until_offset,
         max(day) AS day FROM r GROUP BY topic, part""",
     "offset_start_map": f"""WITH r AS ({_EVENT_RANGES})
       SELECT topic, part, arg_max(until_offset, day) AS until_offset

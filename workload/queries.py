@@ -243,7 +243,7 @@ def offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _daily_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_ranges(spark, sf_dir).select(
-        F.lit("gro").alias("group_id"), "topic", "part", "until_offset", "day"
+        F.lit("readers").alias("group_id"), "topic", "part", "until_offset", "day"
     )
 
 
@@ -256,7 +256,7 @@ def offset_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offset_start_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return offsets.start_map(_daily_progress(spark, sf_dir), "gro", "day")
+    return offsets.start_map(_daily_progress(spark, sf_dir), "readers", "day")
 
 
 # Whole jobs
