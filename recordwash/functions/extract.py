@@ -88,7 +88,10 @@ def _any_of(words: list[str]) -> str:
     return "|".join(sorted(dict.fromkeys(words), key=lambda w: (-len(w), w)))
 
 
-REASON_PATTERN = f"(?:{_any_of(REASON_KEYWORDS)})*.?纠纷"
+# The regex engine goes one call deeper per keyword, so an endless run would overflow its
+# stack and fail the job. A name of more keywords than this counts from its last ones.
+KEYWORDS_IN_A_NAME = 300
+REASON_PATTERN = f"(?:{_any_of(REASON_KEYWORDS)}){{0,{KEYWORDS_IN_A_NAME}}}.?纠纷"
 TITLE_PATTERN = _any_of(TITLE_KEYWORDS)
 
 

@@ -122,6 +122,12 @@ def test_each_reason_word_is_found_whole(apply):
     assert apply(extract.reason_in, [f"一审{w}纠纷" for w in words]) == [f"{w}纠纷" for w in words]
 
 
+def test_a_freak_title_does_not_overflow_the_regex_engine(apply):
+    whole, freak = apply(extract.reason_in, ["劳动" * 300 + "纠纷", "劳动" * 5_000 + "纠纷"])
+    assert whole == "劳动" * 300 + "纠纷"
+    assert freak.endswith("劳动" * 300 + "纠纷")
+
+
 def test_reason_filled_only_if_missing(spark):
     rows = [("null", "离婚纠纷"), ("", "离婚纠纷"), (None, "x"), ("继承", "离婚纠纷")]
     df = spark.createDataFrame(rows, "r string, t string")
