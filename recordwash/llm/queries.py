@@ -2,16 +2,48 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recordwash.llm import exact_dedup
-from recordwash.llm.common import table
+from recordwash.llm import bpe, exact_dedup, token_files
+from recordwash.llm.common import scratch, table
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 2
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    """Digests of each document's ids and of the text decoded from them."""
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), WORD_BPE).drop("text"), WORD_BPE)
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = scratch(spark)
+    out = staging.path("tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, out, END_ID)
+    index = staging.store(token_files.read_index(spark, out), "index")
+    return token_files.with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_bpe": op5_bpe,
+    "op6_token_files": op6_token_files,
 }
