@@ -16,7 +16,6 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from recordwash.llm.common import free_name
+from recordwash.llm.common import add_column, free_name
 
 CACHED_WORDS = 200_000
 NEVER = 1 << 60
@@ -180,22 +179,6 @@ def vocabulary(text: str) -> Vocabulary:
     return Vocabulary(text)
 
 
-def add_column(
-    df: DataFrame, name: str, kind: T.DataType, of: Callable[[pa.RecordBatch], pa.Array]
-) -> DataFrame:
-    """The frame with one more column, made from its Arrow batches."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
-    return df.mapInArrow(partial(_added, name, of), schema)
-
-
-def _added(
-    name: str, of: Callable[[pa.RecordBatch], pa.Array], batches: Iterator[pa.RecordBatch]
-) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = [*batch.schema.names, name]
-        yield pa.RecordBatch.from_arrays([*batch.columns, of(batch)], names)
-
-
 def _shared(df: DataFrame, path: str) -> Broadcast:
     with open(path, encoding="utf-8") as file:
         return df.sparkSession.sparkContext.broadcast(file.read())

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordwash.plans.staging import Staging
 
@@ -79,3 +82,19 @@ def total_bytes(df: DataFrame, columns: Sequence[str]) -> int:
     """Bytes of the given text columns, to choose the number of blocks."""
     size = sum((F.octet_length(F.coalesce(F.col(c), F.lit(""))) for c in columns), F.lit(0))
     return int(df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0])
+
+
+def add_column(
+    df: DataFrame, name: str, kind: T.DataType, of: Callable[[pa.RecordBatch], pa.Array]
+) -> DataFrame:
+    """The frame with one more column, made from its Arrow batches."""
+    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
+    return df.mapInArrow(partial(_added, name, of), schema)
+
+
+def _added(
+    name: str, of: Callable[[pa.RecordBatch], pa.Array], batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = [*batch.schema.names, name]
+        yield pa.RecordBatch.from_arrays([*batch.columns, of(batch)], names)

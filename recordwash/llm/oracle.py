@@ -15,6 +15,24 @@ FROM t
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id ASC NULLS LAST)
 """
 
+OP9 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, strlen(html) AS payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31)::INTEGER,
+           1)), '') AS payload_digest
+  FROM p
+),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
 ORACLE_SQL = {
     "op1_exact_dedup": OP1,
+    "op9_warc": OP9,
 }

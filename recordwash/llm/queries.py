@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordwash.llm import bpe, exact_dedup, token_files
+from recordwash.llm import bpe, exact_dedup, html_text, token_files, warc
 from recordwash.llm.common import scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,8 +42,28 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch(spark).path("archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), out)
+    return warc.read_archives(spark, out).select(
+        F.col("page_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages).drop("html")
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
+    "op9_warc": op9_warc,
+    "op10_html_text": op10_html_text,
 }
