@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordwash.llm import bpe, exact_dedup, html_text, token_files, warc
+from recordwash.llm import bpe, exact_dedup, html_text, token_files, toxicity, warc
 from recordwash.llm.common import scratch, table
+from recordwash.llm.labelled import in_fold
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +43,20 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def with_prediction(scored: DataFrame, folds: int, fold: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        in_fold("doc_id", folds, fold).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return with_prediction(toxicity.score(docs, labels, "toxic", folds=5, fold=0), 5, 0)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch(spark).path("archives")
     warc.write_archives(table(spark, sf_dir, "pages"), out)
@@ -64,6 +79,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
+    "op7_toxicity": op7_toxicity,
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
 }
