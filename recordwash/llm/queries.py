@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordwash.llm import bpe, exact_dedup, html_text, token_files, toxicity, warc
+from recordwash.llm import bpe, exact_dedup, html_text, quality, token_files, toxicity, warc
 from recordwash.llm.common import scratch, table
 from recordwash.llm.labelled import in_fold
 
@@ -19,6 +19,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, "quality", folds=3, fold=1)
+    return with_prediction(quality.add_score(docs.select("doc_id", "text"), model), 3, 1)
+
+
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """Digests of each document's ids and of the text decoded from them."""
     coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), WORD_BPE).drop("text"), WORD_BPE)
@@ -77,6 +83,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality": op2_quality,
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
     "op7_toxicity": op7_toxicity,
