@@ -15,6 +15,45 @@ FROM t
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id ASC NULLS LAST)
 """
 
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+wide AS (SELECT item, w, least(len(w), 13) AS k FROM b WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, k, array_to_string(w[i : i + k - 1], ' ') AS x
+  FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM wide)
+),
+places AS (
+  SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS x
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM d, (SELECT DISTINCT k FROM windows))
+),
+found AS (SELECT doc_id, item, i, p.k FROM places p JOIN windows USING (k, x)),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS word FROM found) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items,
+         array_to_string(list_sort(list(DISTINCT item)), ',') AS names
+  FROM found GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 OP9 = r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (
@@ -34,5 +73,6 @@ FROM f
 
 ORACLE_SQL = {
     "op1_exact_dedup": OP1,
+    "op4_decontaminate": OP4,
     "op9_warc": OP9,
 }

@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordwash.llm import bpe, exact_dedup, html_text, quality, token_files, toxicity, warc
+from recordwash.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    quality,
+    token_files,
+    toxicity,
+    warc,
+)
 from recordwash.llm.common import scratch, table
 from recordwash.llm.labelled import in_fold
 
@@ -25,6 +34,19 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_prediction(quality.add_score(docs.select("doc_id", "text"), model), 3, 1)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    index = scratch(spark).store(decontaminate.build_index(docs), "index")
+    return decontaminate.document_hits(index, benchmark).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """Digests of each document's ids and of the text decoded from them."""
     coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), WORD_BPE).drop("text"), WORD_BPE)
@@ -84,6 +106,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
+    "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
     "op7_toxicity": op7_toxicity,
