@@ -15,6 +15,29 @@ FROM t
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id ASC NULLS LAST)
 """
 
+OP3 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+places AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)
+),
+firsts AS (SELECT x, min(doc_id) AS first_id FROM places GROUP BY x),
+removed AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+  FROM places JOIN firsts USING (x) WHERE first_id < doc_id
+),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept_text, count(*) AS n_kept
+  FROM words ANTI JOIN removed USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed,
+       sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP4 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(
@@ -73,6 +96,7 @@ FROM f
 
 ORACLE_SQL = {
     "op1_exact_dedup": OP1,
+    "op3_substring_dedup": OP3,
     "op4_decontaminate": OP4,
     "op9_warc": OP9,
 }

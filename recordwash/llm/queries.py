@@ -12,6 +12,7 @@ from recordwash.llm import (
     exact_dedup,
     html_text,
     quality,
+    substring_dedup,
     token_files,
     toxicity,
     warc,
@@ -34,6 +35,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_prediction(quality.add_score(docs.select("doc_id", "text"), model), 3, 1)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2("kept_text", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     index = scratch(spark).store(decontaminate.build_index(docs), "index")
@@ -106,6 +113,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
