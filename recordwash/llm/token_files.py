@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -30,14 +31,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recordwash.llm.bpe import CACHED_WORDS
+from recordwash.llm.bpe import byte_letters
 from recordwash.llm.common import text_of, total_bytes
 from recordwash.llm.crc32c import crc32c, masked
 
 #: Bytes of text a file is made from.
 FILE_TEXT_BYTES = 32 << 20
-#: Bytes of records that are written as one block.
-BLOCK_BYTES = 4 << 20
+#: Letters of text that are encoded at a time and written as one block.
+BLOCK_BYTES = 2 << 20
+
+CACHED_PIECES = 250_000
 
 HEADER = struct.Struct("<qIBBH")  # id, number of tokens, bytes of a token, id is null, unused
 EMPTY_RECORD = b"".join(
@@ -64,44 +67,58 @@ _ASCII_PIECE = re.compile(
 )
 
 
-class PieceEncoder(dict):
+class PieceEncoder:
     """Ids of whole texts from the library's ids of their pieces.
 
-    The library merges within a piece only, so it encodes each piece once and the packed
-    ids are kept, up to `CACHED_WORDS` pieces.
+    The library merges within a piece only, so its model encodes each piece once, and the
+    packed ids are kept: those of the last `CACHED_PIECES` pieces and of as many before.
     """
 
     def __init__(self, content: str):
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        special = sorted(
-            (t.content for t in self.tokenizer.get_added_tokens_decoder().values()),
-            key=len, reverse=True,
-        )
-        self.special = re.compile(f"({'|'.join(map(re.escape, special))})") if special else None
+        added = self.tokenizer.get_added_tokens_decoder().items()
+        self.special_ids = {token.content: i for i, token in added}
+        longest_first = map(re.escape, sorted(self.special_ids, key=len, reverse=True))
+        self.special = re.compile(f"({'|'.join(longest_first)})") if added else None
+        self.letters = dict(enumerate(byte_letters()))
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, f"<u{self.width}").tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        packed = self.pack(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(piece) <= 64:
-            self[piece] = packed
-        return packed
-
-    def encode(self, text: str) -> bytes:
+    def pieces(self, text: str) -> list[str]:
         if self.special and self.special.search(text):
             parts = self.special.split(text)
-            return b"".join(self[p] if i % 2 else self._plain(p) for i, p in enumerate(parts))
-        return self._plain(text)
-
-    def _plain(self, text: str) -> bytes:
-        pieces = (_ASCII_PIECE if text.isascii() else _PIECE).findall(text)
-        return b"".join(map(self.__getitem__, pieces))
+            return [
+                x for i, p in enumerate(parts) for x in ([p] if i % 2 else self.pieces(p))
+            ]
+        return (_ASCII_PIECE if text.isascii() else _PIECE).findall(text)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
+        split = [self.pieces(text) for text in texts]
+        if len(self.known) >= CACHED_PIECES:
+            self.known, self.earlier = {}, self.known
+        known, earlier = self.known, self.earlier
+        unseen = []
+        for piece in set().union(*split).difference(known):
+            if (packed := earlier.get(piece)) is not None:
+                known[piece] = packed
+            else:
+                unseen.append(piece)
+        tokenize, code = self.tokenizer.model.tokenize, "H" if self.width == 2 else "I"
+        for piece in unseen:
+            if (special := self.special_ids.get(piece)) is not None:
+                ids = [special]
+            else:
+                letters = piece.encode().decode("latin-1").translate(self.letters)
+                ids = [token.id for token in tokenize(letters)]
+            known[piece] = array(code, ids).tobytes()
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
 
 @lru_cache(maxsize=2)
@@ -174,19 +191,28 @@ def _blocks(
     shared: Broadcast, end_id: int, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
     encoder = piece_encoder(shared.value)
-    end = encoder.pack([end_id])
-    held, size = [], 0
+    for ids, texts in _slices(batches):
+        held = []
+        for doc_id, packed in zip(ids, encoder.encode(texts)):
+            n = len(packed) // encoder.width + 1
+            head = HEADER.pack(doc_id or 0, n, encoder.width, doc_id is None, 0)
+            held.append(head + packed + encoder.pack([end_id]))
+        yield pa.RecordBatch.from_pydict({"block": [b"".join(frames(held))]})
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts, about `BLOCK_BYTES` of text at a time, a whole document at least."""
+    ids, texts, size = [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = encoder.encode(text.as_py()) + end
-            n = len(ids) // encoder.width
-            held.append(HEADER.pack(doc_id or 0, n, encoder.width, doc_id is None, 0) + ids)
-            size += len(ids)
+        for doc_id, text in zip(batch.column(0), batch.column(1)):
+            ids.append(doc_id.as_py())
+            texts.append(text.as_py())
+            size += len(texts[-1])
             if size >= BLOCK_BYTES:
-                yield pa.RecordBatch.from_pydict({"block": [b"".join(frames(held))]})
-                held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_pydict({"block": [b"".join(frames(held))]})
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 def read_index(spark: SparkSession, out: str) -> DataFrame:
