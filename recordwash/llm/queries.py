@@ -11,6 +11,7 @@ from recordwash.llm import (
     decontaminate,
     exact_dedup,
     html_text,
+    jaccard_join,
     quality,
     substring_dedup,
     token_files,
@@ -92,6 +93,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_prediction(toxicity.score(docs, labels, "toxic", folds=5, fold=0), 5, 0)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_similar(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch(spark).path("archives")
     warc.write_archives(table(spark, sf_dir, "pages"), out)
@@ -118,6 +123,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
     "op7_toxicity": op7_toxicity,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
 }
