@@ -1,26 +1,72 @@
-"""The corpus pipeline: stages that each work on what their predecessor kept."""
+"""The corpus pipeline: stages that each work on what their predecessor kept.
+
+A stage deletes the intermediate tables of the stage before it: by then that one's result has
+been written. `run` keeps each stage's result as a table in the shared folder and returns the
+last; the tables of earlier stages are deleted when the next one has been written.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recordwash.llm import exact_dedup
-from recordwash.llm.common import release_scratch, table
+from recordwash.llm import decontaminate, exact_dedup, jaccard_join, quality
+from recordwash.llm.common import free_name, quoted, release_scratch, table
+from recordwash.llm.queries import encoded_digests
 from recordwash.plans.staging import Staging
 
+#: A document goes if the probability of label 1 is below this.
+LEAST_QUALITY = 0.5
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_scratch()
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=3, fold=1)
+    score = free_name(docs, "score")
+    scored = quality.add_score(docs, model, out=score)
+    return scored.where(F.col(score) >= LEAST_QUALITY).select(*map(quoted, docs.columns))
+
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     release_scratch()
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("exact_dedup", exact)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_scratch()
+    return jaccard_join.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_scratch()
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_scratch()
+    return encoded_digests(docs)
+
+
+STAGES = [
+    ("quality_classifier", keep_good),
+    ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("bpe", encode),
+]
+
+#: The first stage is a trained model, which SQL cannot express; the tests hold the others
+#: against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    steps = Staging(spark)
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
+        steps = Staging(spark)
         docs = steps.store(stage(spark, docs, sf_dir), name)
+        if before:
+            before.delete()
+        before = steps
+    release_scratch()
     return docs

@@ -29,8 +29,8 @@ def text_of(name: str) -> Column:
 
 
 def row_digest(df: DataFrame) -> Column:
-    """A 64-bit digest over all columns, to tell rows of one key apart."""
-    return F.xxhash64(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
+    """A 128-bit digest over all columns: equal for rows that are equal throughout."""
+    return F.md5(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
 
 
 def quoted(name: str) -> str:
@@ -84,17 +84,36 @@ def total_bytes(df: DataFrame, columns: Sequence[str]) -> int:
     return int(df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0])
 
 
-def add_column(
-    df: DataFrame, name: str, kind: T.DataType, of: Callable[[pa.RecordBatch], pa.Array]
+#: Rows that a task works on at a time, so that its memory doesn't grow with the batch.
+SLICE_ROWS = 256
+
+
+def add_columns(
+    df: DataFrame, fields: list[T.StructField], of: Callable[[pa.RecordBatch], list[pa.Array]]
 ) -> DataFrame:
-    """The frame with one more column, made from its Arrow batches."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
-    return df.mapInArrow(partial(_added, name, of), schema)
+    """The frame with more columns, made from slices of its Arrow batches."""
+    names = [f.name for f in fields]
+    return df.mapInArrow(partial(_added, names, of), T.StructType([*df.schema.fields, *fields]))
 
 
 def _added(
-    name: str, of: Callable[[pa.RecordBatch], pa.Array], batches: Iterator[pa.RecordBatch]
+    names: list[str],
+    of: Callable[[pa.RecordBatch], list[pa.Array]],
+    batches: Iterator[pa.RecordBatch],
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = [*batch.schema.names, name]
-        yield pa.RecordBatch.from_arrays([*batch.columns, of(batch)], names)
+        for first in range(0, batch.num_rows, SLICE_ROWS):
+            rows = batch.slice(first, SLICE_ROWS)
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, *of(rows)], [*batch.schema.names, *names]
+            )
+
+
+def add_column(
+    df: DataFrame, name: str, kind: T.DataType, of: Callable[[pa.RecordBatch], pa.Array]
+) -> DataFrame:
+    return add_columns(df, [T.StructField(name, kind)], partial(_one, of))
+
+
+def _one(of: Callable[[pa.RecordBatch], pa.Array], batch: pa.RecordBatch) -> list[pa.Array]:
+    return [of(batch)]

@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordwash.llm.common import row_digest, scratch
+from recordwash.llm.common import quoted, row_digest, scratch
 
 WINDOW = 13
 SEGMENT_WORDS = 1_000_000
@@ -39,11 +39,11 @@ SHARE = 20
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 INDEX_SCHEMA = (
-    "keys array<long>, doc_ids array<long>, starts array<int>, sizes array<int>, "
+    "keys array<string>, doc_ids array<long>, starts array<int>, sizes array<int>, "
     "terms array<string>, counts array<int>, positions binary"
 )
-MATCH_SCHEMA = "key long, doc_id long, item string, start int, length int"
-HIT_SCHEMA = "key long, doc_id long, n_words long, n_hit long, items array<string>"
+MATCH_SCHEMA = "key string, doc_id long, item string, start int, length int"
+HIT_SCHEMA = "key string, doc_id long, n_words long, n_hit long, items array<string>"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -77,7 +77,7 @@ def _segment(keys: list, ids: list, docs: list[list[str]]) -> pa.RecordBatch:
 
 _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
 _ARROW_INDEX = pa.schema([
-    ("keys", _LONGS), ("doc_ids", _LONGS), ("starts", _INTS), ("sizes", _INTS),
+    ("keys", pa.list_(pa.string())), ("doc_ids", _LONGS), ("starts", _INTS), ("sizes", _INTS),
     ("terms", pa.list_(pa.string())), ("counts", _INTS), ("positions", pa.binary()),
 ])
 
@@ -218,7 +218,7 @@ def _hits(shared: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         n_hit, items = segment.hits(shared.value)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(segment.keys, pa.int64()), pa.array(segment.doc_ids, pa.int64()),
+                pa.array(segment.keys, pa.string()), pa.array(segment.doc_ids, pa.int64()),
                 pa.array(segment.sizes, pa.int64()), pa.array(n_hit, pa.int64()),
                 pa.array(items, pa.list_(pa.string())),
             ],
@@ -234,7 +234,7 @@ def _found(
         starts, which = segment.search(wanted, slop)
         doc = segment.document(starts + wanted.lengths[which] // 2 if slop else starts)
         yield pa.RecordBatch.from_pydict({
-            "key": pa.array([segment.keys[d] for d in doc], pa.int64()),
+            "key": pa.array([segment.keys[d] for d in doc], pa.string()),
             "doc_id": pa.array([segment.doc_ids[d] for d in doc], pa.int64()),
             "item": pa.array([wanted.items[i] for i in wanted.item_of[which]], pa.string()),
             "start": pa.array(starts - segment.starts[doc], pa.int32()),
@@ -306,7 +306,7 @@ def _hits_of_parts(index: DataFrame, parts: list[Broadcast]) -> DataFrame:
     ).withColumn("contaminated", is_contaminated())
 
 
-def is_contaminated():
+def is_contaminated() -> Column:
     return (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))
 
 
@@ -316,5 +316,10 @@ def decontaminate(
     """The rows whose document isn't contaminated, with all their columns."""
     staging = scratch(docs.sparkSession)
     index = staging.store(build_index(docs, id_col, text_col), "index")
-    found = staging.store(document_hits(index, benchmark).where("contaminated").select("key"), "hits")
-    return docs.join(found.distinct(), row_digest(docs) == F.col("key"), "left_anti")
+    hits = document_hits(index, benchmark).where("contaminated").select("key").distinct()
+    found = staging.store(hits, "hits")
+    rows = docs.select(
+        F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"),
+        row_digest(docs).alias("key"),
+    )
+    return rows.join(found, "key", "left_anti").select("row.*")

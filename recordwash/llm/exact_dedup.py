@@ -18,7 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordwash.llm.common import BLANK, free_name, join_groups, row_digest, scratch, text_of
+from recordwash.llm.common import (
+    BLANK,
+    free_name,
+    join_groups,
+    quoted,
+    row_digest,
+    scratch,
+    text_of,
+)
 
 BLOCK_BITS = 32_768
 BITS_PER_ROW = 16
@@ -125,7 +133,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     staging = scratch(docs.sparkSession)
     whole = free_name(docs, "whole_row")
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias(whole),
+        F.struct(*[docs[quoted(c)] for c in docs.columns]).alias(whole),
         docs[id_col].alias("id"),
         F.char_length(text_of(text_col)).alias("length"),
         digest(text_col).alias("digest"),

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordwash.llm.common import BLANK, join_groups, row_digest, scratch, text_of
+from recordwash.llm.common import BLANK, join_groups, quoted, row_digest, scratch, text_of
 from recordwash.llm.components import components
 from recordwash.plans.staging import Staging
 
@@ -424,7 +424,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         marked.where("key <> first or same_rows > 1").select("key", (F.col("key") == F.col("first")).alias("stays")),
         "others",
     )
-    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_digest(docs).alias("key"))
+    keyed = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"), row_digest(docs).alias("key"))
     kept = keyed.join(others, "key", "left_anti")
     same = keyed.join(others.where("stays"), "key", "left_semi").dropDuplicates(["key"])
     return kept.unionByName(same).select("row.*")
