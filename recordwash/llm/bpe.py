@@ -1,10 +1,10 @@
 """BPE encoding and decoding, with a segment tree over the ranks of adjacent pairs.
 
-A word's leaves are the ranks of its adjacent symbol pairs. The root yields the lowest rank,
-and going down, left first, its leftmost place; a merge changes at most three leaves, each in
+A word's leaves are the ranks of its adjacent symbol pairs, each with its place, so the root
+yields the lowest rank and its leftmost place. A merge changes at most three leaves, each in
 logarithmic time, until no pair can be merged. So a word of a million letters is no trap.
 
-Words repeat, so a task keeps the words it has met, up to `CACHED_WORDS`. The vocabulary file
+Words repeat, so a task keeps the words it has met lately, up to twice `CACHED_WORDS`. The vocabulary file
 is read once on the driver (1-2 MB) and broadcast.
 
 Defined results: null text counts as empty and has no tokens; repeated rows each give a row;
@@ -16,6 +16,8 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
+from collections.abc import Callable
 from functools import lru_cache, partial
 
 import numpy as np
@@ -25,51 +27,51 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from recordwash.llm.common import add_column, free_name
+from recordwash.llm.common import add_column, add_columns, free_name
 
-CACHED_WORDS = 200_000
-NEVER = 1 << 60
+CACHED_WORDS = 150_000
+PLACE_BITS = 32
+#: The rank of a pair that no merge has; as a tree's node it is above all ranks.
+NO_RANK = 1 << 28
+NEVER = NO_RANK << PLACE_BITS
 
 # Contractions, letters, single digits, other signs; white space is dropped.
 _CONTRACTION = "'s|'t|'re|'ve|'m|'ll|'d"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ASCII_WORD = re.compile(rf"{_CONTRACTION}|[a-z]+|[0-9]|[^{_SPACE}a-z0-9]+")
+_LATIN = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
+LATIN_DIGIT = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+_LATIN_WORD = re.compile(
+    rf"{_CONTRACTION}|[{_LATIN}]+|[{LATIN_DIGIT}]|[^{_SPACE}{_LATIN}{LATIN_DIGIT}]+"
+)
 _WORD = regex.compile(rf"{_CONTRACTION}|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 
 
 class PairTree:
-    """Minimum of ranks by place, with point updates."""
+    """Ranks by place, the least on top: a node holds rank and place, so the root has both."""
 
     def __init__(self, ranks: list[int]):
-        size = 1
-        while size < len(ranks):
-            size *= 2
-        self.size = size
-        self.low = [NEVER] * size + ranks + [NEVER] * (size - len(ranks))
+        n = len(ranks)
+        self.size = size = 1 << (n - 1).bit_length()
+        low = [NEVER] * size + [r << PLACE_BITS | i for i, r in enumerate(ranks)]
+        low += [NEVER] * (size - n)
         for node in range(size - 1, 0, -1):
-            self.low[node] = min(self.low[2 * node], self.low[2 * node + 1])
-
-    def first_lowest(self) -> int:
-        """The leftmost place of the lowest rank, or -1 if nothing is left to merge."""
-        low, node = self.low, 1
-        if low[1] == NEVER:
-            return -1
-        while node < self.size:
-            node *= 2
-            if low[node] != low[node // 2]:
-                node += 1
-        return node - self.size
+            left, right = low[2 * node], low[2 * node + 1]
+            low[node] = left if left < right else right
+        self.low = low
 
     def put(self, place: int, rank: int) -> None:
         low, node = self.low, place + self.size
-        low[node] = rank
-        while node > 1:
-            node //= 2
-            left, right = low[2 * node], low[2 * node + 1]
-            least = left if left <= right else right
+        low[node] = rank << PLACE_BITS | place
+        node >>= 1
+        while node:
+            least, right = low[2 * node], low[2 * node + 1]
+            if right < least:
+                least = right
             if low[node] == least:
                 return
             low[node] = least
+            node >>= 1
 
 
 class Vocabulary:
@@ -81,49 +83,50 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
         self.tokens = {i: t for t, i in self.ids.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.merged: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            if (key := (self.ids[left], self.ids[right])) not in self.merges:
-                self.merges[key] = rank, self.ids[left + right]
+            self.ranks.setdefault((self.ids[left], self.ids[right]), rank)
+            self.merged.append(self.ids[left + right])
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.tokens |= {i: t for t, i in self.special.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.split_special = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
-        self.letters = _byte_letters()
-        self.words = _Words(self)
+        letters = byte_letters()
+        self.inner = [self.ids[c] for c in letters]
+        self.last = [self.ids[c + self.suffix] for c in letters]
+        self.words = Remembered(lambda word: array("i", self.word(word)).tobytes(), CACHED_WORDS)
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The symbols after all merges."""
         n = len(symbols)
         if n < 2:
             return symbols
-        merges, none = self.merges, (NEVER, -1)
-        tree = PairTree([merges.get(pair, none)[0] for pair in zip(symbols, symbols[1:])])
-        before = list(range(-1, n - 1))
-        after = list(range(1, n + 1))
-        while (left := tree.first_lowest()) >= 0:
+        rank_of, merged = self.ranks.get, self.merged
+        tree = PairTree([rank_of(pair, NO_RANK) for pair in zip(symbols, symbols[1:])])
+        low, put = tree.low, tree.put
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        while (root := low[1]) < NEVER:
+            left = root & (1 << PLACE_BITS) - 1
             right = after[left]
-            symbols[left] = merges[symbols[left], symbols[right]][1]
+            symbol = symbols[left] = merged[root >> PLACE_BITS]
             symbols[right] = -1
             follower = after[left] = after[right]
-            if right < n - 1:
-                tree.put(right, NEVER)
             if follower < n:
+                put(right, NO_RANK)
                 before[follower] = left
-                pair = symbols[left], symbols[follower]
-                tree.put(left, merges.get(pair, none)[0])
+                put(left, rank_of((symbol, symbols[follower]), NO_RANK))
             else:
-                tree.put(left, NEVER)
-            if (previous := before[left]) >= 0:
-                pair = symbols[previous], symbols[left]
-                tree.put(previous, merges.get(pair, none)[0])
+                put(left, NO_RANK)
+            if left:
+                previous = before[left]
+                put(previous, rank_of((symbols[previous], symbol), NO_RANK))
         return [s for s in symbols if s >= 0]
 
     def word(self, word: str) -> list[int]:
-        letters = [self.letters[b] for b in word.encode()]
-        letters[-1] += self.suffix
-        return self.merge([self.ids[c] for c in letters])
+        *inner, last = word.encode()
+        return self.merge([*map(self.inner.__getitem__, inner), self.last[last]])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
@@ -141,7 +144,8 @@ class Vocabulary:
         else:
             text = unicodedata.normalize("NFC", text)
             # Letter by letter, so without the rule for a final sigma.
-            found = _WORD.findall(text.replace("Σ", "σ").lower())
+            text = text.replace("Σ", "σ").lower()
+            found = (_LATIN_WORD if is_latin(text) else _WORD).findall(text)
         return b"".join(map(self.words.__getitem__, found))
 
     def decode(self, ids: list[int]) -> str:
@@ -149,22 +153,34 @@ class Vocabulary:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-class _Words(dict):
-    """Ids of the words met so far, packed."""
+class Remembered(dict):
+    """Results of a function for the latest texts; when it is full, those of the time before go."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most = make, most
+        self.earlier: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
+    def __missing__(self, text: str) -> bytes:
+        found = self.earlier.get(text)
+        if found is None:
+            found = self.make(text)
+        if len(self) >= self.most:
+            self.earlier = dict(self)
             self.clear()
-        packed = np.array(self.vocabulary.word(word), "<i4").tobytes()
-        if len(word) <= 64:
-            self[word] = packed
-        return packed
+        if len(text) <= 64:
+            self[text] = found
+        return found
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """A printable letter for each byte: itself, or for the others the next from 256 on."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
     letters, spare = [], 256
@@ -190,14 +206,20 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "token
     return add_column(docs, free_name(docs, out), T.ArrayType(T.IntegerType()), of)
 
 
-def _ids(shared: Broadcast, at: int, batch: pa.RecordBatch) -> pa.Array:
-    known = vocabulary(shared.value)
-    packed = [known.encode(x or "") for x in batch.column(at).to_pylist()]
+def _packed_ids(known: Vocabulary, texts: pa.Array) -> list[bytes]:
+    return [known.encode(x.as_py() or "") for x in texts]
+
+
+def _lists(packed: list[bytes]) -> pa.Array:
     ends = np.cumsum([0] + [len(x) // 4 for x in packed])
     values = np.frombuffer(b"".join(packed), "<i4")
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
+def _ids(shared: Broadcast, at: int, batch: pa.RecordBatch) -> pa.Array:
+    return _lists(_packed_ids(vocabulary(shared.value), batch.column(at)))
+
+
 def decode(
     rows: DataFrame, path: str, ids_col: str = "token_ids", out: str = "decoded"
 ) -> DataFrame:
@@ -208,8 +230,23 @@ def decode(
 
 def _texts(shared: Broadcast, at: int, batch: pa.RecordBatch) -> pa.Array:
     known = vocabulary(shared.value)
-    lists = batch.column(at)
-    starts = lists.offsets.to_numpy()
-    values = lists.values.to_numpy()
-    found = (known.decode(values[a:b].tolist()) for a, b in zip(starts, starts[1:]))
-    return pa.array(found, pa.string())
+    return pa.array((known.decode(x.as_py() or []) for x in batch.column(at)), pa.string())
+
+
+def round_trip(
+    docs: DataFrame, path: str, text_col: str = "text", ids: str = "token_ids",
+    decoded: str = "decoded",
+) -> DataFrame:
+    """The rows with the ids of their whole text and the text decoded from them, in one pass."""
+    fields = [
+        T.StructField(free_name(docs, ids), T.ArrayType(T.IntegerType())),
+        T.StructField(free_name(docs, decoded), T.StringType()),
+    ]
+    return add_columns(docs, fields, partial(_both, _shared(docs, path), docs.columns.index(text_col)))
+
+
+def _both(shared: Broadcast, at: int, batch: pa.RecordBatch) -> list[pa.Array]:
+    known = vocabulary(shared.value)
+    packed = _packed_ids(known, batch.column(at))
+    texts = (known.decode(np.frombuffer(x, "<i4").tolist()) for x in packed)
+    return [_lists(packed), pa.array(texts, pa.string())]

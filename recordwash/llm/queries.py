@@ -57,7 +57,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """Digests of each document's ids and of the text decoded from them."""
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), WORD_BPE).drop("text"), WORD_BPE)
+    coded = bpe.round_trip(docs.select("doc_id", "text"), WORD_BPE)
     ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
     return coded.select(
         "doc_id",
