@@ -287,14 +287,15 @@ def document_hits(
 def _hits_of_parts(index: DataFrame, parts: list[Broadcast]) -> DataFrame:
     """Matches of several parts may overlap, so the words they cover are joined by document."""
     found = [index.mapInArrow(partial(_found, part, 0), MATCH_SCHEMA) for part in parts]
+    covered = F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("word")
     words = (
         reduce(DataFrame.unionByName, found)
-        .groupBy("key", "doc_id", F.explode(F.sequence("start", F.expr("start + length - 1"))).alias("word"))
+        .select("key", "doc_id", "item", covered)
+        .groupBy("key", "doc_id", "word")
         .agg(F.collect_set("item").alias("items"))
-    )
-    hits = words.groupBy("key").agg(
-        F.count("*").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
-    )
+    )
+    names = F.array_sort(F.array_distinct(F.flatten(F.collect_set("items"))))
+    hits = words.groupBy("key").agg(F.count("*").alias("n_hit"), names.alias("items"))
     docs = index.select(F.explode(F.arrays_zip("keys", "doc_ids", "sizes")).alias("d")).select(
         F.col("d.keys").alias("key"), F.col("d.doc_ids").alias("doc_id"),
         F.col("d.sizes").cast("long").alias("n_words"),

@@ -60,6 +60,7 @@ BOILERPLATE_ROLES = frozenset(
     "alert banner complementary contentinfo dialog form menu navigation search".split()
 )
 _WORD = re.compile(r"[a-z]+")
+_CUT_TAG = re.compile(r"</?[A-Za-z][^<>]*\Z")
 
 
 class Lines(HTMLParser):
@@ -146,6 +147,7 @@ class Lines(HTMLParser):
 
 
 def parse(html: str) -> Lines:
+    html = _CUT_TAG.sub("", html)
     page = Lines()
     try:
         page.feed(html)

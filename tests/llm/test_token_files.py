@@ -1,0 +1,107 @@
+import glob
+import random
+import zlib
+from unicodedata import category
+
+import cases
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from recordwash.llm import token_files
+from recordwash.llm.crc32c import crc32c
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def slow_crc32c(data):
+    value = 0xFFFFFFFF
+    for byte in data:
+        value ^= byte
+        for _ in range(8):
+            value = (value >> 1) ^ (0x82F63B78 if value & 1 else 0)
+    return value ^ 0xFFFFFFFF
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def ids_of(library, text):
+    return [*library.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def test_checksum():
+    assert slow_crc32c(b"123456789") == 0xE3069283
+    parts = [random.Random(n).randbytes(n) for n in (0, 1, 3, 4, 5, 8, 255, 256, 257, 1000)]
+    sizes = np.array([len(p) for p in parts])
+    found = crc32c(np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes, sizes)
+    assert found.tolist() == [slow_crc32c(p) for p in parts]
+
+
+def test_pieces_match_the_library(library):
+    with open(PATH, encoding="utf-8") as file:
+        encoder = token_files.PieceEncoder(file.read())
+    draw = random.Random(7)
+    parts = [*"abcé ΣΑ'sStT1２²İß\n\t!?　\x1c\x85\xa0", "<|endoftext|>", "  ", "'ll"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 60))) for _ in range(3000)]
+    points = [c for c in range(0x30000) if category(chr(c)) not in ("Cn", "Cs")]
+    for at in range(0, len(points), 64):
+        texts.append(" ".join(f"a{chr(c)}b1 {chr(c)}{chr(c)}  !" for c in points[at : at + 64]))
+    for text in texts:
+        mine = np.frombuffer(encoder.encode(text), "<u2").tolist()
+        assert mine == ids_of(library, text)[:-1], text
+
+
+@pytest.fixture(scope="module")
+def written(spark, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("tokens") / "out")
+    token_files.write_tokens(cases.frame(spark), PATH, out, 2, file_text_bytes=8000)
+    return out
+
+
+def test_index_and_starts(spark, library, written):
+    index = token_files.with_starts(token_files.read_index(spark, written))
+    found = sorted(index.collect(), key=lambda r: r["start"])
+    assert index.select("file").distinct().count() > 1
+    ids = [r["doc_id"] for r in found]
+    assert ids == sorted(ids, key=lambda i: (i is None, i or 0))
+    at = 0
+    for row in found:
+        assert row["start"] == at
+        at += row["n_tokens"]
+    count = lambda i, t: (i, len(t), zlib.crc32(np.array(t, "<u4").tobytes()))
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    want = sorted((count(i, ids_of(library, t)) for i, t in cases.texts()), key=key)
+    got = sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found), key=key)
+    assert got == want
+
+
+def test_shuffled_reading(spark, library, written):
+    index = token_files.read_index(spark, written)
+    rows = token_files.read_shuffled(spark, written, index, seed=3).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    want = sorted(((i, ids_of(library, t)) for i, t in cases.texts()), key=key)
+    assert sorted(((r["doc_id"], list(r["token_ids"])) for r in rows), key=key) == want
+    assert [r["doc_id"] for r in rows] != [i for i, _ in want]
+    some = token_files.read_tokens(spark, written, index.where("doc_id = 20")).collect()
+    assert [r["doc_id"] for r in some] == [20]
+
+
+def test_damage_is_found(written):
+    data = max((open(f, "rb").read() for f in glob.glob(f"{written}/part-*")), key=len)
+    token_files.parse(data, "good")
+    for broken in (data[:-3], data[:40] + bytes([data[40] ^ 1]) + data[41:]):
+        with pytest.raises(ValueError, match="bad-file"):
+            token_files.parse(broken, "bad-file")
+
+
+def test_empty_table(spark, tmp_path):
+    out = str(tmp_path / "none")
+    token_files.write_tokens(cases.empty(spark), PATH, out, 2)
+    assert token_files.with_starts(token_files.read_index(spark, out)).count() == 0

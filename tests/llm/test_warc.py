@@ -1,0 +1,79 @@
+import base64
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from recordwash.llm import warc
+
+FAKE = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+SCHEMA = "page_id long, url string, html string, payload string, value string, block int"
+
+
+def pages():
+    draw = random.Random(3)
+    bits = ["x" * 50, "WARC/1.", "WARC/1.0\r\n", FAKE, "\r\n\r\n", "é", "WAR", "WARC/", "\n",
+            "WARC/1.0\r\nContent-Length: 10\r\n\r\n"]
+    rows = [
+        (i, f"http://a/{i}\r\nX: y", "".join(draw.choices(bits, k=draw.randint(0, 14))))
+        for i in range(120)
+    ]
+    rows += [(300, None, None), (301, "u", ""), (None, "u", "zz"), (302, None, FAKE * 40)]
+    return rows + [(303, "d", FAKE * 40), (304, "d", "y" * 20_000), (305, "e", "zz")]
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, ["1500", "10"]):
+        spark.conf.set(name, value)
+    yield
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
+def test_round_trip_with_magic_in_payloads(spark, tmp_path, tiny_splits):
+    rows, out = pages(), str(tmp_path / "out")
+    docs = spark.createDataFrame([(*r, "p", "v", 1) for r in rows], SCHEMA).repartition(3)
+    warc.write_archives(docs, out)
+    found = {r["page_id"]: r for r in warc.read_archives(spark, out).collect()}
+    assert len(found) == len(rows)
+    first = {}
+    for i, _, html in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault(html or "", i)
+    for i, _, html in rows:
+        row, payload, origin = found[None if i is None else str(i)], (html or "").encode(), first[html or ""]
+        assert row["payload_bytes"] == len(payload)
+        assert row["payload_digest"] == base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        assert row["digest_fits"]
+        if origin == i:
+            assert (row["record_type"], row["refers_to"]) == ("response", None)
+            assert bytes(row["payload"]) == payload
+        else:
+            assert (row["record_type"], row["refers_to"]) == ("revisit", str(origin))
+
+
+def test_pointer_jumping():
+    start = np.array([0, 5, 10, 14, 20])
+    #: 0 → 10 → 20 → end 30; 5 leads to 20 too, but nothing leads to 5; 14 leads nowhere.
+    assert warc.reachable(start, np.array([10, 20, 20, 17, 30]), 30).tolist() == [
+        True, False, True, False, True]
+    assert not warc.reachable(np.array([3]), np.array([9]), 9).any()
+    assert warc.reachable(np.array([0]), np.array([9]), 8).tolist() == [False]
+    long = np.arange(5000)
+    assert warc.reachable(long, long + 1, 5000).all()
+
+
+def test_foreign_and_cut_archives(spark, tmp_path):
+    good = FAKE.replace("1.0", "1.1")
+    (tmp_path / "part-0.warc").write_bytes((good + good + good[:-6]).encode())
+    found = warc.read_archives(spark, str(tmp_path)).collect()
+    assert [r["record_type"] for r in found] == ["response"] * 2
+
+
+def test_empty_table(spark, tmp_path):
+    out = str(tmp_path / "out")
+    warc.write_archives(spark.createDataFrame([], SCHEMA), out)
+    assert warc.read_archives(spark, out).count() == 0
