@@ -50,7 +50,9 @@ SECOND_PERSON = frozenset(
 LOOK_ALIKE = str.maketrans("013457@$!|", "oieastasil")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_DISGUISED = re.compile(r"[^\W\d_]+[0-9@$!|*.\-]+[^\W_]+")
+_DISGUISED = re.compile(
+    r"[0-9@$]+[^\W\d_]+|[^\W\d_]+(?:[0-9@$!|*.\-]+[^\W\d_]+)+[0-9@$]*|[^\W\d_]+[0-9@$]+"
+)
 _SIGNS = re.compile(r"[*.\-]+")
 
 FEATURES = (
@@ -120,7 +122,7 @@ def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             kinds = ["word"] * len(words) + ["stem"] * len(stems)
             labels = np.full(len(kinds), label.as_py())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds), pa.array([*words, *stems], pa.string()), pa.array(labels)],
+                [pa.array(kinds, pa.string()), pa.array([*words, *stems], pa.string()), pa.array(labels)],
                 ["kind", "term", "label"],
             )
 
