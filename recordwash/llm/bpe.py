@@ -36,15 +36,15 @@ NO_RANK = 1 << 28
 NEVER = NO_RANK << PLACE_BITS
 
 # Contractions, letters, single digits, other signs; white space is dropped.
-_CONTRACTION = "'s|'t|'re|'ve|'m|'ll|'d"
+_CONTRACTION = "'(?:s|t|re|ve|m|ll|d)"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_ASCII_WORD = re.compile(rf"{_CONTRACTION}|[a-z]+|[0-9]|[^{_SPACE}a-z0-9]+")
+_ASCII_WORD = re.compile(rf"[a-z]+|{_CONTRACTION}|[0-9]|[^{_SPACE}a-z0-9]+")
 _LATIN = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
 LATIN_DIGIT = r"0-9\xb2\xb3\xb9\xbc-\xbe"
 _LATIN_WORD = re.compile(
-    rf"{_CONTRACTION}|[{_LATIN}]+|[{LATIN_DIGIT}]|[^{_SPACE}{_LATIN}{LATIN_DIGIT}]+"
+    rf"[{_LATIN}]+|{_CONTRACTION}|[{LATIN_DIGIT}]|[^{_SPACE}{_LATIN}{LATIN_DIGIT}]+"
 )
-_WORD = regex.compile(rf"{_CONTRACTION}|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+_WORD = regex.compile(rf"\p{{L}}+|{_CONTRACTION}|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 
 
 class PairTree:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recordwash.llm.bpe import byte_letters
+from recordwash.llm.bpe import LATIN_DIGIT, Remembered, byte_letters, is_latin
 from recordwash.llm.common import text_of, total_bytes
 from recordwash.llm.crc32c import crc32c, masked
 
@@ -40,7 +40,7 @@ FILE_TEXT_BYTES = 32 << 20
 #: Letters of text that are encoded at a time and written as one block.
 BLOCK_BYTES = 2 << 20
 
-CACHED_PIECES = 250_000
+CACHED_PIECES = 350_000
 
 HEADER = struct.Struct("<qIBBH")  # id, number of tokens, bytes of a token, id is null, unused
 EMPTY_RECORD = b"".join(
@@ -58,12 +58,23 @@ INDEX_SCHEMA = (
 )
 
 # The file's own splitting pattern, for any text and for ASCII.
+# Letters come first, being commonest; what may stand first in the others differs from them.
+_CONTRACTION = "'(?:s|t|re|ve|m|ll|d)"
 _PIECE = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    rf" ?\p{{L}}+|{_CONTRACTION}| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+(?!\S)|\s+"
 )
-_ASCII_PIECE = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+"
-    r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+
+
+def _piece(space: str, letter: str, digit: str) -> re.Pattern:
+    return re.compile(
+        rf" ?[{letter}]+|{_CONTRACTION}| ?[{digit}]+| ?[^{space}{letter}{digit}]+"
+        rf"|[{space}]+(?![^{space}])|[{space}]+"
+    )
+
+
+_ASCII_PIECE = _piece(r"\t-\r ", "A-Za-z", "0-9")
+_LATIN_PIECE = _piece(
+    r"\t-\r \x85\xa0", r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", LATIN_DIGIT
 )
 
 
@@ -84,11 +95,10 @@ class PieceEncoder:
         self.special = re.compile(f"({'|'.join(longest_first)})") if added else None
         self.letters = dict(enumerate(byte_letters()))
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
+        self.known = Remembered(self.piece, CACHED_PIECES)
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        return array("H" if self.width == 2 else "I", ids).tobytes()
 
     def pieces(self, text: str) -> list[str]:
         if self.special and self.special.search(text):
@@ -96,29 +106,19 @@ class PieceEncoder:
             return [
                 x for i, p in enumerate(parts) for x in ([p] if i % 2 else self.pieces(p))
             ]
-        return (_ASCII_PIECE if text.isascii() else _PIECE).findall(text)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text."""
-        split = [self.pieces(text) for text in texts]
-        if len(self.known) >= CACHED_PIECES:
-            self.known, self.earlier = {}, self.known
-        known, earlier = self.known, self.earlier
-        unseen = []
-        for piece in set().union(*split).difference(known):
-            if (packed := earlier.get(piece)) is not None:
-                known[piece] = packed
-            else:
-                unseen.append(piece)
-        tokenize, code = self.tokenizer.model.tokenize, "H" if self.width == 2 else "I"
-        for piece in unseen:
-            if (special := self.special_ids.get(piece)) is not None:
-                ids = [special]
-            else:
-                letters = piece.encode().decode("latin-1").translate(self.letters)
-                ids = [token.id for token in tokenize(letters)]
-            known[piece] = array(code, ids).tobytes()
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        if text.isascii():
+            return _ASCII_PIECE.findall(text)
+        return (_LATIN_PIECE if is_latin(text) else _PIECE).findall(text)
+
+    def encode(self, text: str) -> bytes:
+        """Packed ids of the text."""
+        return b"".join(map(self.known.__getitem__, self.pieces(text)))
+
+    def piece(self, piece: str) -> bytes:
+        if (special := self.special_ids.get(piece)) is not None:
+            return self.pack([special])
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return self.pack([token.id for token in self.tokenizer.model.tokenize(letters)])
 
 
 @lru_cache(maxsize=2)
@@ -193,7 +193,7 @@ def _blocks(
     encoder = piece_encoder(shared.value)
     for ids, texts in _slices(batches):
         held = []
-        for doc_id, packed in zip(ids, encoder.encode(texts)):
+        for doc_id, packed in zip(ids, map(encoder.encode, texts)):
             n = len(packed) // encoder.width + 1
             head = HEADER.pack(doc_id or 0, n, encoder.width, doc_id is None, 0)
             held.append(head + packed + encoder.pack([end_id]))
