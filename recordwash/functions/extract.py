@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from recordwash.functions.let import let, unless_empty
 from recordwash.functions.normalize import case_number, clean
-from recordwash.functions.reasons import REASON_KEYWORDS, TITLE_KEYWORDS
+from recordwash.functions.reasons import EXPLOSIVES, REASON_KEYWORDS, TITLE_KEYWORDS
 
 # Text patterns.
-COURT_PATTERN = "[一-龥]{2,}人民法院"
-CASE_NUMBER_PATTERN = r"[(（][21].*?[）)][一-龥]*\d*[一-龥]*\d*号"
+# A court's name is looked for once per run of letters, from its start, and a number once per
+# line, from its first bracket: a later start would find nothing that an earlier one doesn't,
+# and trying each takes quadratic time on a long text.
+COURT_PATTERN = "(?<![一-龥])[一-龥]{2,}人民法院"
+CASE_NUMBER_PATTERN = (
+    r"(?m)^(?>.*?(?=[(（][21]))([(（][21].*?[）)][一-龥]*\d*[一-龥]*\d*号)"
+)
 CASE_NUMBER_END = "&nbsp<br>"
 CASE_TYPE_PATTERN = "[民刑]事"
 DOCUMENT_TYPE_PATTERN = r"(?:判[\s　]*决|裁[\s　]*定)[\s　]*书"
@@ -37,8 +42,8 @@ def _value(numeral: Column) -> Column:
     return F.array_position(known, numeral).cast("string")
 
 
-def _first(c: Column, pattern: str) -> Column:
-    return unless_empty(F.regexp_extract(c, pattern, 0))
+def _first(c: Column, pattern: str, group: int = 0) -> Column:
+    return unless_empty(F.regexp_extract(c, pattern, group))
 
 
 def _without_blanks(c: Column) -> Column:
@@ -51,7 +56,7 @@ def court_in(text: Column) -> Column:
 
 
 def case_number_in(text: Column) -> Column:
-    found = case_number(F.when(text.contains("号"), _first(text, CASE_NUMBER_PATTERN)))
+    found = case_number(F.when(text.contains("号"), _first(text, CASE_NUMBER_PATTERN, 1)))
     return F.substring_index(found, CASE_NUMBER_END, 1)
 
 
@@ -88,11 +93,11 @@ def _any_of(words: list[str]) -> str:
     return "|".join(sorted(dict.fromkeys(words), key=lambda w: (-len(w), w)))
 
 
-# The regex engine goes one call deeper per keyword, so an endless run would overflow its
-# stack and fail the job. A name of more keywords than this counts from its last ones.
-KEYWORDS_IN_A_NAME = 300
-REASON_PATTERN = f"(?:{_any_of(REASON_KEYWORDS)}){{0,{KEYWORDS_IN_A_NAME}}}.?纠纷"
-TITLE_PATTERN = _any_of(TITLE_KEYWORDS)
+# Possessive, so that the regex engine takes a long run of keywords step by step; otherwise it
+# goes one call deeper per keyword and an endless run overflows its stack. No keyword begins
+# with 纠 and .? takes what is left, so nothing is lost by never giving a keyword back.
+REASON_PATTERN = f"(?:{_any_of(REASON_KEYWORDS)})*+.?纠纷"
+TITLE_PATTERN = f"{_any_of(TITLE_KEYWORDS)}|{EXPLOSIVES}"
 
 
 def _all(c: Column, pattern: str) -> Column:

@@ -20,5 +20,8 @@ TITLE_KEYWORDS = [
     "刑事裁定书", "民事判决书", "民事裁定书", "盗窃", "敲诈勒索", "聚众斗殴", "劳动争议", "寻性滋事", "寻衅滋事", "调解书",
     "故意伤害", "刑事判决书", "民事裁定书", "民事判决书", "抚养判决", "赔偿判决书", "执行裁定书", "行政裁定书", "刑事决定书", "抢劫",
     "判决书", "审查裁定书", "无罪赔偿赔偿决定书", "特别程序判决书", "一案裁定书", "司法救助裁定书", "指定管辖决定书",
-    "执行审查裁定书", "执行通知书", "走私", "贩卖", "制造毒品", "非法制造", "储存枪支", "弹药", "爆炸物",
+    "执行审查裁定书", "执行通知书", "走私", "贩卖", "制造毒品", "非法制造", "储存枪支", "弹药",
 ]
+
+# Fixed value: 爆炸, 爆炸物 and so on with the one sign after it, as in 爆炸罪.
+EXPLOSIVES = "爆炸物*.?"

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from recordwash.operators.fields import family_view
 from recordwash.schema import (
-    DUPLICATES, MAIN, PROGRESS_SCHEMA, REJECT_SCHEMA, REVIEW, STORED_SCHEMA, WORD_COUNT_SCHEMA,
+    DUPLICATES, ECHO_SCHEMA, MAIN, PROGRESS_SCHEMA, REJECT_SCHEMA, REVIEW, STORED_SCHEMA,
+    WORD_COUNT_SCHEMA,
 )
 
 TABLES = {
@@ -25,6 +26,7 @@ TABLES = {
     "rejects": REJECT_SCHEMA,
     "progress": PROGRESS_SCHEMA,
     "word_counts": WORD_COUNT_SCHEMA,
+    "echo": ECHO_SCHEMA,
 }
 PARTITIONS = {"records": ["run", "batch_id", "dest"]}
 BATCH = ["run", "batch_id"]

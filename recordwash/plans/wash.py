@@ -10,13 +10,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordwash.functions.normalize import key_digest, row_key
+from recordwash.functions.normalize import declared_date, key_digest, row_key
 from recordwash.operators.dedup import first_of_group
 from recordwash.operators.history import BROADCAST_ROWS, hits
 from recordwash.operators.parse import parse_records
 from recordwash.operators.rules import judge
 from recordwash.plans.staging import Staging
-from recordwash.schema import DUPLICATES, MAIN, POSITION, RECORD_FIELDS, REVIEW
+from recordwash.schema import DATE_FIELDS, DUPLICATES, MAIN, POSITION, RECORD_FIELDS, REVIEW
 
 @dataclass
 class Washed:
@@ -37,10 +37,13 @@ def match_key() -> Column:
     """What makes two records the same case.
 
     Route 1: number and court. Route 2 has no number: court, title and date. Route 3 is
-    not compared. Digest of the values, so that a null date equals a null date.
+    not compared. Digest of the values, so that a null date equals a null date. Dates are
+    equal as dates however written; what is no date is compared as text.
     """
+    written = F.col("judgementDate")
+    date = F.coalesce(declared_date(written).cast("string"), written)
     numbered = [F.lit("1"), F.col("caseNumber"), F.col("court")]
-    unnumbered = [F.lit("2"), F.col("court"), F.col("title"), F.col("judgementDate")]
+    unnumbered = [F.lit("2"), F.col("court"), F.col("title"), date]
     return F.when(F.col("route") == 1, key_digest(numbered)).when(
         F.col("route") == 2, key_digest(unnumbered)
     )
@@ -49,11 +52,16 @@ def match_key() -> Column:
 def routed(
     messages: DataFrame, *, fill_reason: bool = True, court_match: str = "exact"
 ) -> DataFrame:
-    """One row per message: record, route, keys; or the text and why it was rejected."""
+    """One row per message: record, route, keys; or the text and why it was rejected.
+
+    `row_id` is fixed once the rows are stored. Positions come from outside and may be null or
+    collide, so rows are told apart by `row_id` alone.
+    """
     records = parse_records(messages, ["value", *POSITION], fill_reason=fill_reason)
     judged = judge(records, court_match)
     rejected = F.col("reject_reason").isNotNull()
     return judged.select(
+        F.monotonically_increasing_id().alias("row_id"),
         row_key([F.col(f) for f in RECORD_FIELDS]).alias("row_key"),
         *RECORD_FIELDS,
         "route",
@@ -70,25 +78,28 @@ def _setbacks(
     rows: DataFrame, history: DataFrame | None, order: list[str], staging: Staging,
     broadcast_rows: int,
 ) -> DataFrame:
-    """Positions that do not follow their route, with the reason: copy, batch or history.
+    """Rows that do not follow their route, with the reason: copy, batch or history.
 
     Works on narrow columns. Groups are reduced to their first row before the shuffle;
-    rows then find out whether they are a first by their unique position.
+    rows then find out whether they are a first by their row id.
     """
-    slim = rows.select(*POSITION, "message_key", "match_key", *order)
-    leads = first_of_group(slim, ["message_key"], [], POSITION)
+    ranks = [c for f in order for c in ((f"{f}_date", f) if f in DATE_FIELDS else (f,))]
+    dates = [declared_date(F.col(f)).alias(f"{f}_date") for f in order if f in DATE_FIELDS]
+    slim = rows.select("row_id", *POSITION, "message_key", "match_key", *order, *dates)
+    leads = first_of_group(slim, ["message_key"], POSITION, ["row_id"])
     keyed = slim.where(F.col("match_key").isNotNull())
     heads = staging.store(
-        first_of_group(keyed, ["match_key"], order, POSITION).drop("copies"), "heads"
+        first_of_group(keyed, ["match_key"], [*ranks, *POSITION], ["row_id"]).drop("copies"),
+        "heads",
     )
     marked = slim.join(
-        leads.select(*POSITION, F.lit(True).alias("is_lead")), POSITION, "left"
-    ).join(heads.select(*POSITION, F.lit(True).alias("is_head")), POSITION, "left")
+        leads.select("row_id", F.lit(True).alias("is_lead")), "row_id", "left"
+    ).join(heads.select("row_id", F.lit(True).alias("is_head")), "row_id", "left")
     known = F.lit(False)
     if history is not None:
         hit = hits(heads, history, ["match_key"], broadcast_rows)
         marked = marked.join(
-            hit.select(*POSITION, F.lit(True).alias("is_known")), POSITION, "left"
+            hit.select("row_id", F.lit(True).alias("is_known")), "row_id", "left"
         )
         known = F.col("is_known").isNotNull()
     setback = (
@@ -97,7 +108,7 @@ def _setbacks(
         .when(F.col("is_head").isNull(), "batch")
         .when(known, "history")
     )
-    return marked.select(*POSITION, setback.alias("setback")).where(
+    return marked.select("row_id", setback.alias("setback")).where(
         F.col("setback").isNotNull()
     )
 
@@ -115,7 +126,8 @@ def wash(
     """Send each message to main, duplicates or review.
 
     `history` holds the `match_key` of what main already has. Among rows of one key the
-    first by `order`, then by position, goes on to main. Exact copies of a message are
+    first by `order`, then by position, goes on to main; dates are ordered as dates, then
+    what is no date, as text, then what is missing. Exact copies of a message are
     dropped. `staging` must live until the results are written.
     """
     everything = staging.store(
@@ -129,7 +141,7 @@ def wash(
         setbacks = F.broadcast(setbacks)
     fate = F.col("setback")
     records = (
-        rows.join(setbacks, POSITION, "left")
+        rows.join(setbacks, "row_id", "left")
         .where(fate.isNull() | (fate != "copy"))
         .select(
             "row_key", *RECORD_FIELDS, "route", "check_notes", "match_key",

@@ -27,6 +27,9 @@ DELIMITED_FIELDS = [
 # A message's place in its source: unique, and the tie-break for "first".
 POSITION = ["topic", "partition", "offset"]
 
+#: Record fields that hold a date as text.
+DATE_FIELDS = ("crawlDate", "judgementDate")
+
 POSITION_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
@@ -73,6 +76,12 @@ REJECT_SCHEMA = T.StructType(
     ]
 )
 
+ECHO_SCHEMA = T.StructType(
+    [T.StructField("value", T.StringType())]
+    + POSITION_SCHEMA.fields
+    + [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+)
+
 PROGRESS_SCHEMA = T.StructType([
     T.StructField("group_id", T.StringType()),
     T.StructField("topic", T.StringType()),

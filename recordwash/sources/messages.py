@@ -56,19 +56,21 @@ def file_stream(
     return reader.parquet(path)
 
 
-def text_lines(spark: SparkSession, path: str, topic: str = "file") -> DataFrame:
-    """One message per text line.
+def text_lines(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
+    """One message per text line; its topic is the file it stands in, unless one is given.
 
     A line has no offset of its own, so it is numbered by input split. The number is
     stable for one reading only: the jobs store their input before they use it.
     """
-    return with_position(spark.read.text(path), topic)
+    lines = spark.read.text(path)
+    source = F.col("_metadata.file_path") if topic is None else F.lit(topic)
+    return with_position(lines.select("value", source.alias("topic")))
 
 
-def with_position(values: DataFrame, topic: str) -> DataFrame:
+def with_position(values: DataFrame) -> DataFrame:
     return values.select(
         "value",
-        F.lit(topic).alias("topic"),
+        "topic",
         F.spark_partition_id().alias("partition"),
         F.monotonically_increasing_id().alias("offset"),
         F.lit(None).cast("timestamp").alias("timestamp"),

@@ -15,6 +15,7 @@ from recordwash.operators.words import word_count
 from recordwash.plans.staging import Staging
 from recordwash.plans.wash import wash
 from recordwash.plans.store import Store, run_id
+from recordwash.schema import POSITION
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 UNTIL_CAUGHT_UP = {"availableNow": True}
@@ -119,16 +120,22 @@ def start_echo(
     checkpoint: str,
     *,
     group_id: str = "echo",
-    rows: int = 20,
+    preview: int = 0,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Show `rows` messages of each micro-batch on the console and keep the offsets read."""
-    Store(source.sparkSession, root).create("progress")
+    """Write every message, whole, to the `echo` table and keep the offsets read.
+
+    `preview` rows of each micro-batch are shown on the console as well.
+    """
+    Store(source.sparkSession, root).create("echo", "progress")
 
     def step(batch: DataFrame, run: str, batch_id: int) -> None:
         store = Store(batch.sparkSession, root)
         with _kept(batch):
-            batch.select("topic", "partition", "offset", "value").show(rows)
+            messages = batch.select("value", *POSITION)
+            store.write_batch(messages, "echo", run, batch_id)
+            if preview:
+                messages.show(preview, truncate=False)
             save_progress(store, batch, group_id, run, batch_id)
 
     return _start(source, checkpoint, trigger or EVERY_5_SECONDS, step)

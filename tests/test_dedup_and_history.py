@@ -1,10 +1,13 @@
+import json
 import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from recordwash.operators import dedup, history
 from recordwash.plans.staging import Staging
+from recordwash.plans.wash import match_key, wash
 
 
 @pytest.fixture(scope="module")
@@ -138,3 +141,45 @@ def test_q13_null_keys_group_together_but_match_no_history(spark):
 def test_history_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "a string, z int")
     assert as_set(history.history_keys(df, ["a"])) == Counter([("a",)])
+
+
+def wash_messages(spark, rows):
+    """Wash (value, topic, partition, offset) rows; the destination of each record."""
+    schema = "value string, topic string, partition int, offset long"
+    frame = spark.createDataFrame(rows, schema).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    with Staging(spark) as staging:
+        found = wash(frame, None, staging).records
+        return sorted((r["crawlDate"] or "", r["dest"], r["dup_kind"]) for r in found.collect())
+
+
+def message(crawled, number="(2017)渝0001民初1号", judged="2017-12-07", court="重庆市第一中级人民法院"):
+    content = f"{court} 民事判决书 {number or ''} 二〇一七年十二月七日"
+    return json.dumps(
+        {"caseNumber": number, "court": court, "title": "甲", "judgementDate": judged,
+         "crawlDate": crawled, "caseType": "民事", "documentType": "判决书", "content": content},
+        ensure_ascii=False,
+    )
+
+
+def test_colliding_and_null_positions_neither_multiply_nor_hide_copies(spark):
+    rows = [(message(f"2018-01-0{i}"), "file", 0, 0) for i in (1, 2)]
+    rows += [(message("2018-01-03"), None, None, None), (message("2018-01-04"), None, None, None)]
+    found = wash_messages(spark, rows)
+    assert [r[0] for r in found] == ["2018-01-01", "2018-01-02", "2018-01-03", "2018-01-04"]
+    assert [r[2] for r in found] == [None, "batch", "batch", "batch"]
+
+
+def test_earliest_crawl_date_is_a_date(spark):
+    rows = [(message(d), "t", 0, i) for i, d in enumerate(["2018-05-10", "2018-5-9", "soon", None])]
+    kept = [r[0] for r in wash_messages(spark, rows) if r[2] is None]
+    assert kept == ["2018-5-9"]
+
+
+def test_same_case_without_number_however_its_date_is_written(spark):
+    frame = spark.createDataFrame(
+        [(2, None, "c", "t", d) for d in ("2017-12-07", "20171207", "2017-12-7", "then", None)],
+        "route int, caseNumber string, court string, title string, judgementDate string",
+    )
+    keys = [bytes(r[0]) for r in frame.select(match_key()).collect()]
+    assert keys[0] == keys[1] == keys[2]
+    assert len(set(keys)) == 3

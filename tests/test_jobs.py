@@ -211,15 +211,20 @@ def test_stream_word_count_is_per_batch(spark, tmp_path):
     assert saved_starts(Store(spark, root), "someone else") == {}
 
 
-def test_echo_shows_messages_and_keeps_offsets(spark, tmp_path, capsys):
+def test_echo_keeps_every_message_whole_and_its_offsets(spark, tmp_path, capsys):
     source, root = str(tmp_path / "in"), str(tmp_path / "store")
-    feed(spark, source, 0, ["hello"], 5)
+    values = ["hello", *(f"{i} " + "long " * 100 for i in range(60))]
+    feed(spark, source, 0, values, 5)
     start_echo(
-        sources.file_stream(spark, source), root, str(tmp_path / "c"), trigger=UNTIL_CAUGHT_UP
+        sources.file_stream(spark, source), root, str(tmp_path / "c"), preview=100,
+        trigger=UNTIL_CAUGHT_UP,
     ).awaitTermination()
-    assert "hello" in capsys.readouterr().out
+    shown = capsys.readouterr().out
+    assert all(v in shown for v in values)
+    stored = Store(spark, root).read("echo").orderBy("offset").collect()
+    assert [(r["offset"], r["value"]) for r in stored] == list(enumerate(values, 5))
     row = Store(spark, root).read("progress").first()
-    assert (row["from_offset"], row["until_offset"]) == (5, 6)
+    assert (row["from_offset"], row["until_offset"]) == (5, 66)
 
 
 def test_upsert_replaces_by_key(spark):

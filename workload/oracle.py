@@ -33,9 +33,10 @@ def _alternatives(words: list[str]) -> str:
 
 def _reason(title: str) -> str:
     disputes = f"(?:{_alternatives(REASON_KEYWORDS)})*.?纠纷"
+    offences = f"{_alternatives(TITLE_KEYWORDS)}|爆炸物*.?"
     return (
         f"coalesce(nullif(array_to_string(regexp_extract_all({title}, '{disputes}'), ','), ''), "
-        f"nullif(array_to_string(regexp_extract_all({title}, '{_alternatives(TITLE_KEYWORDS)}'), ','), ''))"
+        f"nullif(array_to_string(regexp_extract_all({title}, '{offences}'), ','), ''))"
     )
 
 
@@ -311,4 +312,10 @@ ORACLE_SQL: dict[str, str] = {
       FROM (SELECT cast(CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
           unnest(string_split(text, ' ')) AS word FROM documents)
       WHERE word <> '' GROUP BY batch_id, word""",
+    "stream_echo": f"""WITH {MESSAGES_CTE},
+      b AS (SELECT k, value, CASE WHEN y < {FIRST_BATCH_YEAR} THEN 0 ELSE 1 END AS batch_id FROM msgs)
+      SELECT cast(batch_id AS BIGINT) AS batch_id, 0 AS partition, k AS "offset", value,
+        min(k) OVER (PARTITION BY batch_id) AS from_offset,
+        max(k) OVER (PARTITION BY batch_id) + 1 AS until_offset
+      FROM b""",
 }

@@ -17,7 +17,7 @@ from recordwash.plans.wash import wash
 from recordwash.schema import RECORD_FIELDS
 from recordwash.sources import ranges
 from recordwash.sources.messages import file_stream
-from recordwash.streaming.jobs import UNTIL_CAUGHT_UP, start_wash, start_word_count
+from recordwash.streaming.jobs import UNTIL_CAUGHT_UP, start_echo, start_wash, start_word_count
 from workload.fixtures import FIRST_BATCH_YEAR, as_stream_rows, declared, lines, messages
 
 KEY = ["caseNumber", "court"]
@@ -310,6 +310,25 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("batch_id", "word", "n")
 
 
+def stream_echo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message as echoed, with the offsets that its micro-batch reported as done."""
+    staging = Staging(spark)
+    store, checkpoint = staging.path("store"), staging.path("checkpoint")
+    for i, part in enumerate([F.col("y") < FIRST_BATCH_YEAR, F.col("y") >= FIRST_BATCH_YEAR]):
+        as_stream_rows(messages(spark, sf_dir).where(part)).write.parquet(staging.path(f"input/{i}"))
+        source = file_stream(spark, staging.path("input"))
+        start_echo(source, store, checkpoint, trigger=UNTIL_CAUGHT_UP).awaitTermination()
+    tables = Store(spark, store)
+    report = tables.read("progress").select(
+        "batch_id", F.col("part").alias("partition"), "topic", "from_offset", "until_offset"
+    )
+    return (
+        tables.read("echo")
+        .join(report, ["batch_id", "topic", "partition"])
+        .select("batch_id", "partition", "offset", "value", "from_offset", "until_offset")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "message_distinct": message_distinct,
     "message_filter": message_filter,
@@ -350,4 +369,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wash_end_to_end": wash_end_to_end,
     "stream_wash": stream_wash,
     "stream_word_count": stream_word_count,
+    "stream_echo": stream_echo,
 }
