@@ -1,8 +1,9 @@
 """Copies of messages and of records.
 
-No step sorts or collects a whole group: "first" is a minimum, which is combined before
-the shuffle, and rows are told apart from their group's first by joining on the unique
-row id. A key that holds a third of all rows costs no more than any other.
+"First" is decided on narrow rows: keys, order and row id. It is a minimum, combined before
+the shuffle, so no group is brought together, and a key that holds a third of all rows costs
+no more than any other. Whole rows then meet narrow ones on the unique row id, with a hash
+table of the narrow side, so that they are not sorted.
 """
 
 from __future__ import annotations
@@ -42,22 +43,30 @@ def first_of_group(
     )
 
 
-def survivors(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each group, whole, in one shuffle. `order` must be total."""
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*[F.col(c) for c in rest]), _ordering(order))
-    picked = df.groupBy(*keys).agg(first.alias("first"))
-    return picked.select(*[
-        F.col(c) if c in keys else F.col("first")[c].alias(c) for c in df.columns
-    ])
+def _narrow(df: DataFrame, keys: list[str], order: list[str], row_id: list[str]) -> DataFrame:
+    return df.select(*dict.fromkeys([*keys, *order, *row_id]))
+
+
+def _with_ids(df: DataFrame, ids: DataFrame, row_id: list[str], how: str) -> DataFrame:
+    return df.join(ids.hint("shuffle_hash"), row_id, how)
+
+
+def survivors(
+    df: DataFrame, keys: list[str], order: list[str], row_id: list[str]
+) -> DataFrame:
+    """The first row of each group, whole."""
+    firsts = first_of_group(_narrow(df, keys, order, row_id), keys, order, row_id)
+    return _with_ids(df, firsts.select(*row_id), row_id, "left_semi").select(*df.columns)
 
 
 def later_copies(
     df: DataFrame, keys: list[str], order: list[str], row_id: list[str]
 ) -> DataFrame:
     """Every row that is not the first of its group."""
-    firsts = first_of_group(df, keys, order, row_id).select(*row_id)
-    return df.join(firsts, row_id, "left_anti").select(*df.columns)
+    narrow = _narrow(df, keys, order, row_id)
+    firsts = first_of_group(narrow, keys, order, row_id).select(*row_id)
+    later = narrow.select(*row_id).join(firsts, row_id, "left_anti")
+    return _with_ids(df, later, row_id, "left_semi").select(*df.columns)
 
 
 def duplicate_groups(
@@ -71,8 +80,10 @@ def group_members(
     df: DataFrame, keys: list[str], order: list[str], row_id: list[str]
 ) -> DataFrame:
     """All rows of the groups with more than one row, with `is_first`."""
-    firsts = first_of_group(df, keys, order, row_id).select(*row_id, "copies")
-    marked = df.join(firsts, row_id, "left")
-    return marked.where(F.col("copies").isNull() | (F.col("copies") > 1)).select(
-        *df.columns, F.col("copies").isNotNull().alias("is_first")
+    narrow = _narrow(df, keys, order, row_id)
+    firsts = first_of_group(narrow, keys, order, row_id).select(*row_id, "copies")
+    marked = narrow.select(*row_id).join(firsts, row_id, "left")
+    members = marked.where(F.col("copies").isNull() | (F.col("copies") > 1)).select(
+        *row_id, F.col("copies").isNotNull().alias("is_first")
     )
+    return _with_ids(df, members, row_id, "inner").select(*df.columns, "is_first")

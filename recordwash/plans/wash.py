@@ -139,6 +139,8 @@ def wash(
     )
     if setbacks.count() <= broadcast_rows:
         setbacks = F.broadcast(setbacks)
+    else:  # a hash table of the narrow side: texts are moved but not sorted
+        setbacks = setbacks.hint("shuffle_hash")
     fate = F.col("setback")
     records = (
         rows.join(setbacks, "row_id", "left")

@@ -13,7 +13,7 @@ from recordwash.plans.wash import routed
 from workload.fixtures import as_stream_rows, messages
 from workload.queries import QUERIES
 
-STREAMS = {"stream_wash", "stream_word_count"}
+STREAMS = {"stream_wash", "stream_word_count", "stream_echo"}
 
 
 def plan(df):
@@ -82,3 +82,22 @@ def test_staging_deletes_its_own_tables_only(spark):
         assert kept.count() == 4
         with pytest.raises(AnalysisException):
             spark.read.parquet(staging.path("t"))
+
+
+@pytest.mark.parametrize("name", ["survivors", "later_copies", "group_members"])
+def test_whole_rows_are_not_sorted(spark, name):
+    rows = spark.range(1000).select(
+        F.col("id").alias("k"), (F.col("id") % 7).alias("a"), F.lit("x").alias("content")
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = getattr(dedup, name)(rows, ["a"], [], ["k"])
+        text = plan(found)
+        assert found.count() == {"survivors": 7, "later_copies": 993, "group_members": 1000}[name]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ShuffledHashJoin" in text
+    for line in text.splitlines():
+        if re.search("Sort|SortAggregate", line):
+            assert "content" not in line

@@ -160,7 +160,7 @@ def duplicate_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.survivors(_clean(spark, sf_dir).drop("check_notes"), KEY, ["k"])
+    return dedup.survivors(_clean(spark, sf_dir).drop("check_notes"), KEY, [], ["k"])
 
 
 def batch_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +177,7 @@ def _history_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     clean = staging.store(_clean(spark, sf_dir, ("k", "y")).select("k", "y", *KEY), "clean")
     past = clean.where(F.col("y") < FIRST_BATCH_YEAR)
     new = clean.where(F.col("y") >= FIRST_BATCH_YEAR).drop("y")
-    return past, staging.store(dedup.survivors(new, KEY, ["k"]), "batch")
+    return past, staging.store(dedup.survivors(new, KEY, [], ["k"]), "batch")
 
 
 def history_left(spark: SparkSession, sf_dir: str) -> DataFrame:
