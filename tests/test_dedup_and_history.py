@@ -113,17 +113,14 @@ def test_hits_and_misses(sides, expected, limit):
     assert misses == Counter(r for r, n in expected.items() if not n)
 
 
-# Broadcast batch; shuffled; shuffled with the hot key (and others) salted.
-@pytest.mark.parametrize("limit, hot_rows", [(1000, 10), (0, 10_000), (0, 20), (0, 0)])
-def test_fan_out_repeats_a_row_per_history_row(sides, expected, limit, hot_rows):
+# Broadcast batch; shuffled; rows repeated in one part or several.
+@pytest.mark.parametrize("limit, at_once", [(1000, 1000), (0, 1000), (0, 20), (0, 1)])
+def test_fan_out_repeats_a_row_per_history_row(sides, expected, limit, at_once, monkeypatch):
+    monkeypatch.setattr(history, "REPEATED_AT_ONCE", at_once)
     batch, old = sides
-    joined = history.hits_fanned_out(
-        batch, old, ["a", "b"], ["k"], broadcast_rows=limit, hot_rows=hot_rows, salts=5
-    )
+    joined = history.hits_fanned_out(batch, old, ["a", "b"], broadcast_rows=limit)
     assert as_set(joined) == Counter({r: n for r, n in expected.items() if n})
-    left = history.with_history(
-        batch, old, ["a", "b"], ["k"], broadcast_rows=limit, hot_rows=hot_rows, salts=5
-    )
+    left = history.with_history(batch, old, ["a", "b"], broadcast_rows=limit)
     assert left.columns == ["k", "a", "b", "history_a", "history_b"]
     assert as_set(left) == Counter({
         (*r, *(r[1:] if n else (None, None))): max(n, 1) for r, n in expected.items()

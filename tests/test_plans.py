@@ -49,6 +49,23 @@ def test_history_is_not_shuffled_for_a_small_batch(spark):
     assert "wide" not in large and "HashAggregate" in large
 
 
+def test_only_keys_are_broadcast(spark):
+    staging = Staging(spark)
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("key"), F.lit("x").alias("wide"))
+    old, batch = staging.store(rows, "old"), staging.store(rows.limit(9), "new")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [plan(f(batch, old, ["key"])) for f in (history.with_history, history.hits_fanned_out)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for text in plans:
+        assert "BroadcastExchange" in text
+        for part in text.split("BroadcastExchange")[1:]:
+            below = part.split("\n   +- Exchange")[0]
+            assert "wide" not in "\n".join(below.splitlines()[:4])
+
+
 def test_first_of_group_is_combined_before_the_shuffle(spark):
     df = spark.range(10).select("id", (F.col("id") % 2).alias("key"), F.lit("x").alias("wide"))
     text = plan(dedup.first_of_group(df, ["key"], [], ["id"]))

@@ -182,7 +182,7 @@ def _history_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 def history_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     past, batch = _history_sides(spark, sf_dir)
-    return history.with_history(batch, past, KEY, ["k"])
+    return history.with_history(batch, past, KEY)
 
 
 def history_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +192,7 @@ def history_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_hits_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     past, batch = _history_sides(spark, sf_dir)
-    return history.hits_fanned_out(batch, past, KEY, ["k"])
+    return history.hits_fanned_out(batch, past, KEY)
 
 
 def history_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
