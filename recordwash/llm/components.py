@@ -5,24 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordwash.llm.common import join_groups
 from recordwash.plans.staging import Staging
 
 
-def _linked_to_least(links: DataFrame, total: int) -> DataFrame:
-    """Links (node, near, least): every link with the least neighbour of its node."""
-    least = links.groupBy("node").agg(
-        F.least(F.min("near"), F.col("node")).alias("least"), F.count("*").alias("degree")
+def _parents(links: DataFrame) -> DataFrame:
+    return links.groupBy("node").agg(F.min("near").alias("parent"))
+
+
+def _round(links: DataFrame) -> DataFrame:
+    """Links (node, near), near being smaller, that connect the same nodes by shorter ways.
+
+    A node keeps its least neighbour, and its others are linked to that one; then every link is
+    moved on from its near end to that one's least neighbour.
+    """
+    met = links.join(_parents(links), "node")
+    kept = met.select("node", F.col("parent").alias("near"))
+    others = met.where("near <> parent").select(
+        F.col("near").alias("node"), F.col("parent").alias("near")
     )
-    return join_groups(links, least, "node", "degree", total)
+    shorter = kept.unionByName(others).distinct()
+    further = _parents(shorter).withColumnRenamed("node", "near")
+    moved = shorter.join(further, "near", "left")
+    return moved.select("node", F.coalesce("parent", "near").alias("near")).distinct()
 
 
 def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
     """(node, root) of every node of an edge (a, b), root being its component's least node.
 
-    Each round links every node's larger neighbours to its least one, and then its smaller ones,
-    until nothing changes: every component is then a star. The number of rounds grows with the
-    logarithm of the longest path. Nodes with many links are joined apart from the others.
+    Rounds go on until nothing changes: every component is then a star. Their number grows with
+    the logarithm of the longest path. Minima are combined before the shuffle; the joins have one
+    row per node on one side, and rows of a node with very many links are split by AQE.
     """
     ordered = edges.where("a <> b").select(
         F.greatest("a", "b").alias("node"), F.least("a", "b").alias("near")
@@ -31,18 +43,7 @@ def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
     before, step = _state(links), 0
     while before[0]:
         step += 1
-        both = links.unionByName(links.select(F.col("near").alias("node"), F.col("node").alias("near")))
-        large = _linked_to_least(both, 2 * before[0]).where("near > node")
-        wide = staging.store(
-            large.select(F.col("near").alias("node"), F.col("least").alias("near")).distinct(),
-            f"{name}_{step}_large",
-        )
-        small = _linked_to_least(wide, before[0])
-        again = small.select(F.col("near").alias("node"), F.col("least").alias("near"))
-        own = small.select("node", F.col("least").alias("near"))
-        links = staging.store(
-            again.unionByName(own).where("node <> near").distinct(), f"{name}_{step}"
-        )
+        links = staging.store(_round(links), f"{name}_{step}")
         if (after := _state(links)) == before:
             break
         before = after

@@ -54,15 +54,24 @@ def with_positions(rows: DataFrame, n_blocks: int) -> DataFrame:
     )
 
 
-def repeat_filter(rows: DataFrame, n_blocks: int) -> DataFrame:
-    """(block, bits): the bits that more than one row hits."""
-    hits = with_positions(rows, n_blocks).select(
+def _hits(rows: DataFrame, n_blocks: int) -> DataFrame:
+    return with_positions(rows, n_blocks).select(
         "block", F.explode(F.array("bit_a", "bit_b")).alias("bit")
     )
-    repeated = hits.groupBy("block", "bit").count().where("count > 1")
+
+
+def repeat_filter(rows: DataFrame, n_blocks: int) -> DataFrame:
+    """(block, bits): the bits that more than one row hits."""
+    repeated = _hits(rows, n_blocks).groupBy("block", "bit").count().where("count > 1")
     return repeated.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
+def member_filter(rows: DataFrame, n_blocks: int) -> DataFrame:
+    """(block, bits): the bits that any row hits."""
+    hits = _hits(rows, n_blocks)
+    return hits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
 def has_bit(bits: str, position: str) -> Column:
     byte = F.substring(F.col(bits), F.floor(F.col(position) / 8).cast("int") + 1, F.lit(1))
     value = F.ascii(F.decode(byte, "ISO-8859-1"))

@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from recordwash.llm.common import BLANK, join_groups, quoted, row_digest, scratch, text_of
 from recordwash.llm.components import components
+from recordwash.llm.exact_dedup import blocks_for, may_repeat, member_filter
 from recordwash.plans.staging import Staging
 
 SHINGLE = 5
@@ -335,6 +336,16 @@ def _dealt(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(key).sortWithinPartitions(key)
 
 
+def _texts_of(docs: DataFrame, text_col: str, chosen: DataFrame, staging: Staging) -> DataFrame:
+    """The chosen rows with their texts. A Bloom filter keeps most other texts unshuffled."""
+    n_blocks = blocks_for(chosen.count())
+    keys = chosen.select(F.col("key").alias("digest"))
+    bloom = staging.store(member_filter(keys, n_blocks), "filter")
+    sources = docs.select(row_digest(docs).alias("digest"), text_of(text_col).alias("text"))
+    maybe = may_repeat(sources, bloom, n_blocks, "maybe").where("maybe")
+    return maybe.withColumnRenamed("digest", "key").join(chosen.hint("merge"), "key")
+
+
 def similar_texts(docs: DataFrame, id_col: str, text_col: str, staging: Staging) -> DataFrame:
     """id, key, digest, n_shingles, root of the class and links of every row."""
     rows = docs.select(
@@ -357,15 +368,17 @@ def similar_texts(docs: DataFrame, id_col: str, text_col: str, staging: Staging)
     near = _dealt(bucketed, "meeting").mapInArrow(_bucket_links, "a long, b long")
     clusters = staging.store(components(near, staging, "clusters"), "clusters")
 
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("n"))
-    grouped = join_groups(clusters, sizes, "root", "n", clusters.count()).withColumn(
-        "blocks", F.when(F.col("n") > 2 * BLOCK, F.ceil(F.col("n") / BLOCK)).otherwise(1)
+    # Few clusters are larger than a meeting; where they are many, AQE splits their rows.
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > 2 * BLOCK)
+    grouped = clusters.join(sizes, "root", "left").withColumn(
+        "blocks", F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1))
     )
     chosen = staging.store(
         grouped.join(texts.select("node", "copies", "id", "key"), "node"), "members"
     )
-    sources = docs.select(row_digest(docs).alias("key"), text_of(text_col).alias("text"))
-    whole = sources.join(chosen, "key").select("root", "blocks", "node", "copies", "text")
+    whole = _texts_of(docs, text_col, chosen, staging).select(
+        "root", "blocks", "node", "copies", "text"
+    )
     if every.groupBy("key").count().where("count > 1").limit(1).count():  # rows equal throughout
         whole = whole.dropDuplicates(["node"])
     meeting = _meetings(whole, "root").select(
