@@ -120,6 +120,8 @@ def test_toxic_features():
     hidden = dict(zip(toxicity.FEATURES, toxicity.features("@wful a-w-f-u-l THE!!", known)))
     assert hidden["disguised_hits"] == 2
     assert hidden["shouted_rate"] == 0.0
+    for endless in ("x" * 300_000, "x-" * 150_000, "1" * 300_000):
+        assert len(toxicity.features(endless, known)) == len(toxicity.FEATURES)
     assert toxicity.features("", known) == [0.0] * len(toxicity.FEATURES)
 
 
