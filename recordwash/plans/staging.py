@@ -6,16 +6,23 @@ planner its true size.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
 @cache
 def _local_folder() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="recordwash-")
+    """For a local master alone, where driver and executors are one process."""
+    folder = tempfile.mkdtemp(prefix="recordwash-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return "file://" + folder
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,12 +35,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_open: dict[str, Staging] = {}
+
+
+@atexit.register
+def _delete_open() -> None:
+    """What results still read until the end of the program goes then."""
+    if SparkContext._active_spark_context is not None:
+        for staging in list(_open.values()):
+            with contextlib.suppress(Exception):  # the session may be gone already
+                staging.delete()
+
+
 class Staging:
-    """Tables of one job. As a context manager it deletes them at the end."""
+    """Tables of one job, deleted at the end of the program, or of the `with` block."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/recordwash/{uuid.uuid4().hex}"
+        _open[self.root] = self
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -43,6 +63,7 @@ class Staging:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def delete(self) -> None:
+        _open.pop(self.root, None)
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
