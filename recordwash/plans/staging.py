@@ -47,6 +47,11 @@ def _delete_open() -> None:
                 staging.delete()
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Staging:
     """Tables of one job, deleted at the end of the program, or of the `with` block."""
 
@@ -64,9 +69,7 @@ class Staging:
 
     def delete(self) -> None:
         _open.pop(self.root, None)
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(self.spark, self.root)
 
     def __enter__(self) -> Staging:
         return self

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordwash.operators.fields import family_view
+from recordwash.operators.offsets import PROGRESS_KEY
+from recordwash.plans.staging import delete_folder
 from recordwash.schema import (
     DUPLICATES, ECHO_SCHEMA, MAIN, PROGRESS_SCHEMA, REJECT_SCHEMA, REVIEW, STORED_SCHEMA,
     WORD_COUNT_SCHEMA,
@@ -30,6 +32,8 @@ TABLES = {
 }
 PARTITIONS = {"records": ["run", "batch_id", "dest"]}
 BATCH = ["run", "batch_id"]
+#: In place of a run's id, for what was merged from several batches.
+COMPACTED = "compacted"
 
 
 class Store:
@@ -86,6 +90,25 @@ class Store:
         )
 
 
+    def compact_progress(self) -> None:
+        """Replace the progress of all batches by one row per group, topic and partition.
+
+        The new folder is written before the old ones go. A crash in between leaves rows
+        twice, which readers don't notice, as they take the latest of a partition.
+        """
+        stored = self.read("progress")
+        done = [tuple(r) for r in stored.select(*BATCH).distinct().toLocalIterator()]
+        if len(done) < 2:
+            return
+        rest = ["from_offset", "until_offset", "committed_at"]
+        newest = F.max_by(F.struct(*rest), "committed_at").alias("newest")
+        kept = stored.groupBy(*PROGRESS_KEY).agg(newest).select(*PROGRESS_KEY, "newest.*")
+        number = 1 + max((batch for run, batch in done if run == COMPACTED), default=-1)
+        self.write_batch(kept, "progress", COMPACTED, number)
+        for run, batch in done:
+            delete_folder(self.spark, f"{self._path('progress')}/run={run}/batch_id={batch}")
+
+
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """Id of the query that owns a checkpoint; the same after every restart."""
     metadata = spark.read.schema(T.StructType([T.StructField("value", T.StringType())]))

@@ -18,6 +18,8 @@ from recordwash.plans.store import Store, run_id
 from recordwash.schema import POSITION
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
+#: Micro-batches after which the kept offsets are merged.
+COMPACT_EVERY = 200
 UNTIL_CAUGHT_UP = {"availableNow": True}
 
 BatchStep = Callable[[DataFrame, str, int], None]
@@ -58,12 +60,17 @@ def _kept(batch: DataFrame) -> Iterator[None]:
 def save_progress(
     store: Store, batch: DataFrame, group_id: str, run: str, batch_id: int
 ) -> None:
-    """Append the batch's offset ranges; readers take the latest row per partition."""
+    """Add the batch's offset ranges; readers take the latest row per partition.
+
+    Every `COMPACT_EVERY` batches the table is merged to one row per partition.
+    """
     ranges = offset_ranges(batch).select(
         F.lit(group_id).alias("group_id"), "topic", "part", "from_offset", "until_offset",
         F.current_timestamp().alias("committed_at"),
     )
     store.write_batch(ranges, "progress", run, batch_id)
+    if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+        store.compact_progress()
 
 
 def saved_starts(store: Store, group_id: str) -> dict[str, dict[int, int]]:
