@@ -32,7 +32,7 @@ parts AS (
 msgs AS (
   SELECT k, y, '{"' || CASE WHEN k % 3 = 0 THEN 'casenumber' ELSE 'caseNumber' END || '":'
     || coalesce('"' || rawno || '"', 'null') || ',"court":' || coalesce('"' || court || '"', 'null')
-    || ',"title":"甲与乙' || CASE WHEN k % 5 = 0 THEN '买卖合同纠纷' WHEN k % 5 = 1 THEN '借贷纠纷' ELSE '盗窃' END || '一审判决书"'
+    || ',"title":"甲与乙' || CASE WHEN k % 997 = 0 THEN repeat('劳动', 400) || '纠纷' WHEN k % 43 = 0 THEN '爆炸罪' WHEN k % 5 = 0 THEN '买卖合同纠纷' WHEN k % 5 = 1 THEN '借贷纠纷' ELSE '盗窃' END || '一审判决书"'
     || ',"sourceUrl":"u' || cast(k % 900 AS string) || '","judgementType":"判决书","judgementDate":"' || jdate
     || '","publishDate":"null","crawlDate":"2018-05-' || lpad(cast(1 + k % 28 AS string), 2, '0')
     || '","caseType":' || coalesce('"' || ctype || '"', 'null')
