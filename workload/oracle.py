@@ -307,6 +307,9 @@ ORACLE_SQL: dict[str, str] = {
       SELECT topic, part, arg_max(until_offset, day) AS until_offset
       FROM r GROUP BY topic, part""",
     "wash_end_to_end": _wash(f"CASE WHEN y < {FIRST_BATCH_YEAR} THEN 0 ELSE 1 END"),
+    "text_wash": f"""SELECT dest, dup_kind, route, count(*) AS n
+      FROM ({_wash(f"CASE WHEN y < {FIRST_BATCH_YEAR} THEN 0 ELSE 1 END")})
+      GROUP BY dest, dup_kind, route""",
     "stream_wash": _wash("CASE WHEN y < 1997 THEN 0 WHEN y < 1999 THEN 1 ELSE 2 END"),
     "stream_word_count": """SELECT batch_id, word, count(*) AS n
       FROM (SELECT cast(CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS BIGINT) AS batch_id,

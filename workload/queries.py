@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from recordwash.functions import extract, normalize
 from recordwash.operators import dedup, fields, history, offsets, parse, rules, words
 from recordwash.operators.once import evaluated_once
+from recordwash.plans.batch import wash_batch
 from recordwash.plans.delimited import clean_delimited, delimited_job
 from recordwash.plans.staging import Staging
 from recordwash.plans.store import Store
 from recordwash.plans.wash import wash
 from recordwash.schema import RECORD_FIELDS
 from recordwash.sources import ranges
-from recordwash.sources.messages import file_stream
+from recordwash.sources.messages import file_stream, text_lines
 from recordwash.streaming.jobs import UNTIL_CAUGHT_UP, start_echo, start_wash, start_word_count
 from workload.fixtures import FIRST_BATCH_YEAR, as_stream_rows, declared, lines, messages
 
@@ -281,6 +282,24 @@ def wash_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _washed(past.records.unionByName(new.records))
 
 
+def text_wash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files, washed batch by batch into stored tables, and SQL over their views."""
+    staging = Staging(spark)
+    root, everything = staging.path("store"), messages(spark, sf_dir)
+    is_past = F.col("y") < FIRST_BATCH_YEAR
+    for i, part in enumerate([is_past, ~is_past]):
+        lines_at = staging.path(f"lines/{i}")
+        everything.where(part).select("value").write.text(lines_at)
+        wash_batch(text_lines(spark, lines_at), root, batch_id=i, order=())
+    Store(spark, root).create_views("washed_")
+    return spark.sql(
+        """SELECT dest, dup_kind, route, count(*) AS n FROM (
+          SELECT * FROM washed_main UNION ALL SELECT * FROM washed_duplicates
+          UNION ALL SELECT * FROM washed_review
+        ) GROUP BY dest, dup_kind, route"""
+    )
+
+
 def stream_wash(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
     store, checkpoint = staging.path("store"), staging.path("checkpoint")
@@ -367,6 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offset_upsert": offset_upsert,
     "offset_start_map": offset_start_map,
     "wash_end_to_end": wash_end_to_end,
+    "text_wash": text_wash,
     "stream_wash": stream_wash,
     "stream_word_count": stream_word_count,
     "stream_echo": stream_echo,
