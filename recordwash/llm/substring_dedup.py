@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +78,7 @@ class Block:
     """The documents of a block: their words' names, and their windows."""
 
     def __init__(self, ids: list[int | None], texts: list[str]):
+        self.given_ids = ids
         self.ids = np.array([NO_ID if i is None else i for i in ids], np.int64)
         self.words = [_WORD.findall(text) for text in texts]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
@@ -100,7 +101,7 @@ class Block:
     def anchors(self) -> np.ndarray:
         """Each window's anchor."""
         first = self.windows
-        anchor = self.digests(first, 1)
+        anchor, covered = np.zeros(len(first), _U), np.zeros(len(first), bool)
         if not len(first):
             return anchor
         names, doc = self.names, self.doc
@@ -113,6 +114,7 @@ class Block:
         for level in range(PAIR_ROUNDS + 1):
             inside = low < high
             anchor[inside] = named(names[low[inside]], np.array([level], _U))
+            covered |= inside
             if level == PAIR_ROUNDS:
                 break
             right = mix(names + _U(level + 1)) >> _U(63) == 1
@@ -125,6 +127,7 @@ class Block:
             number = np.append(np.cumsum(kept) - 1, int(kept.sum()))
             names, doc = names[kept], doc[kept]
             low, high = number[np.minimum(low, len(kept))], number[np.maximum(high, 0)]
+        anchor[~covered] = self.digests(first[~covered], 1)
         return anchor
 
 
@@ -149,10 +152,12 @@ class Anchors:
     """A block's anchors as sent: six bytes each, and whether two of its documents hold it."""
 
     def __init__(self, block: Block, n_buckets: int):
-        self.n_buckets = n_buckets
-        self.key, low, high, self.number = _unique_by_doc(
-            block.anchors() >> _U(16), block.doc[block.windows]
-        )
+        anchors, doc = block.anchors() >> _U(16), block.doc[block.windows]
+        # Neighbours mostly share their anchor, so only the first of each series is sorted.
+        new = np.ones(len(anchors), bool)
+        new[1:] = (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1])
+        self.series = np.cumsum(new) - 1
+        self.key, low, high, self.number = _unique_by_doc(anchors[new], doc[new])
         self.several = low != high
         self.edges = _bucket_edges(self.key << _U(16), n_buckets)
 
@@ -168,14 +173,14 @@ class Anchors:
         for bucket, bits in answers.items():
             a, b = self.edges[bucket], self.edges[bucket + 1]
             found[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
-        return found[self.number]
+        return found[self.number][self.series]
 
 
 class Candidates:
     """A block's windows with a shared anchor as sent: 96-bit digests and smallest documents."""
 
     def __init__(self, block: Block, shared: np.ndarray, n_buckets: int):
-        self.block, self.windows = block, block.windows[shared]
+        self.windows = block.windows[shared]
         high, low = block.digests(self.windows, 2), block.digests(self.windows, 3) >> _U(32)
         order = np.lexsort((low, high))
         high, low = high[order], low[order]
@@ -220,7 +225,10 @@ SENT = "block long, bucket int, keys binary, about binary"
 
 
 def _block(docs: pa.Table) -> Block:
-    return Block(docs.column("id").to_pylist(), docs.column("text").to_pylist())
+    """The block, its documents in one order in every pass: a shuffle may deliver any."""
+    rows = zip(docs.column("id").to_pylist(), docs.column("text").to_pylist())
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    return Block([r[0] for r in ordered], [r[1] for r in ordered])
 
 
 def _send_anchors(n_buckets: int, key: tuple, docs: pa.Table) -> pa.Table:
@@ -232,26 +240,31 @@ def _answers(stage: int, rows: pa.Table) -> dict[int, tuple[bytes, bytes]]:
     return {r["bucket"]: (r["shared"], r["firsts"]) for r in picked}
 
 
-def _candidates(docs: pa.Table, answers: pa.Table, n_buckets: int) -> Candidates:
-    block = _block(docs)
-    bits = {k: v[0] for k, v in _answers(1, answers).items()}
-    return Candidates(block, Anchors(block, n_buckets).shared(bits), n_buckets)
-
-
 def _send_windows(n_buckets: int, key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-    return _sent(key[0].as_py(), _candidates(docs, answers, n_buckets).sent())
+    """The candidates, and a note to the block itself: which of its windows they are."""
+    block, number = _block(docs), key[0].as_py()
+    bits = {k: v[0] for k, v in _answers(1, answers).items()}
+    shared = Anchors(block, n_buckets).shared(bits)
+    note = (n_buckets + number, np.packbits(shared).tobytes(), b"")
+    return _sent(number, chain(Candidates(block, shared, n_buckets).sent(), [note]))
 
 
 def _answer(
     stage: int, bucket: int, blocks: list[int], masks: list[np.ndarray], firsts: list[bytes]
 ) -> pa.Table:
     some = [i for i, mask in enumerate(masks) if mask.any()]
+    bits = pa.array([np.packbits(masks[i]).tobytes() for i in some], pa.binary())
+    kept = pa.array([firsts[i] for i in some], pa.binary())
+    return _answer_rows(stage, bucket, pa.array([blocks[i] for i in some], pa.int64()), bits, kept)
+
+
+def _answer_rows(stage: int, bucket: int, blocks, shared, firsts) -> pa.Table:
     return pa.table({
-        "block": pa.array([blocks[i] for i in some], pa.int64()),
-        "bucket": pa.array([bucket] * len(some), pa.int32()),
-        "stage": pa.array([stage] * len(some), pa.int32()),
-        "shared": pa.array([np.packbits(masks[i]).tobytes() for i in some], pa.binary()),
-        "firsts": pa.array([firsts[i] for i in some], pa.binary()),
+        "block": blocks,
+        "bucket": pa.array([bucket] * len(blocks), pa.int32()),
+        "stage": pa.array([stage] * len(blocks), pa.int32()),
+        "shared": shared,
+        "firsts": firsts,
     })
 
 
@@ -277,8 +290,10 @@ def _share_anchors(key: tuple, rows: pa.Table) -> pa.Table:
     return _answer(1, key[0].as_py(), blocks, masks, [b""] * len(blocks))
 
 
-def _first_windows(key: tuple, rows: pa.Table) -> pa.Table:
+def _first_windows(n_buckets: int, key: tuple, rows: pa.Table) -> pa.Table:
     """For each block, its windows of a bucket that begin in a smaller document elsewhere."""
+    if key[0].as_py() >= n_buckets:
+        return _answer_rows(3, 0, rows.column("block"), rows.column("keys"), rows.column("about"))
     kind = np.dtype([("high", "<u8"), ("low", "<u4")])
     sent = [np.frombuffer(x.as_buffer(), kind) for x in rows.column("keys")]
     sizes = [len(x) for x in sent]
@@ -297,8 +312,10 @@ def _first_windows(key: tuple, rows: pa.Table) -> pa.Table:
 
 
 def _remove(n_buckets: int, key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-    found = _candidates(docs, answers, n_buckets)
-    block, at = found.block, found.repeated(_answers(2, answers))
+    block = _block(docs)
+    noted = np.frombuffer(_answers(3, answers)[0][0], np.uint8)
+    shared = np.unpackbits(noted, count=len(block.windows)).astype(bool)
+    at = Candidates(block, shared, n_buckets).repeated(_answers(2, answers))
     edge = np.zeros(len(block.names) + 1, np.int64)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + WINDOW, -1)
@@ -310,7 +327,7 @@ def _remove(n_buckets: int, key: tuple, docs: pa.Table, answers: pa.Table) -> pa
         for words, a, n in zip(block.words, block.starts.tolist(), n_removed.tolist())
     ]
     return pa.table({
-        "doc_id": docs.column("id"),
+        "doc_id": pa.array(block.given_ids, pa.int64()),
         "n_words": pa.array(block.sizes, pa.int64()),
         "n_removed": pa.array(n_removed, pa.int64()),
         "kept_text": pa.array(texts, pa.string()),
@@ -335,8 +352,9 @@ def remove_repeats(
     windows = by_block.cogroup(shared.groupBy("block")).applyInArrow(
         lambda key, d, a: _send_windows(n_buckets, key, d, a), SENT
     )
-    firsts = windows.groupBy("bucket").applyInArrow(lambda key, r: _first_windows(key, r), ANSWER)
-    answers = shared.unionByName(firsts)
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(
+    firsts = windows.groupBy("bucket").applyInArrow(
+        lambda key, r: _first_windows(n_buckets, key, r), ANSWER
+    )
+    return by_block.cogroup(firsts.groupBy("block")).applyInArrow(
         lambda key, d, a: _remove(n_buckets, key, d, a), RESULT
     )
