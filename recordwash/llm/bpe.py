@@ -27,9 +27,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from recordwash.llm.common import add_column, add_columns, free_name
+from recordwash.llm.common import add_column, add_columns, free_name, keep_for
 
-CACHED_WORDS = 150_000
+CACHED_WORDS = 120_000
 PLACE_BITS = 32
 #: The rank of a pair that no merge has; as a tree's node it is above all ranks.
 NO_RANK = 1 << 28
@@ -192,6 +192,7 @@ def byte_letters() -> list[str]:
 
 @lru_cache(maxsize=2)
 def vocabulary(text: str) -> Vocabulary:
+    keep_for("bpe", vocabulary.cache_clear)
     return Vocabulary(text)
 
 

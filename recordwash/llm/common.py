@@ -84,6 +84,19 @@ def total_bytes(df: DataFrame, columns: Sequence[str]) -> int:
     return int(df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0])
 
 
+_kept_by: dict[str, Callable[[], None]] = {}
+
+
+def keep_for(operator: str, forget: Callable[[], None]) -> None:
+    """Note that an operator starts to keep things in this Python worker.
+
+    Workers outlive a stage, so what other operators have kept is forgotten first.
+    """
+    for other in [name for name in _kept_by if name != operator]:
+        _kept_by.pop(other)()
+    _kept_by[operator] = forget
+
+
 #: Rows that a task works on at a time, so that its memory doesn't grow with the batch.
 SLICE_ROWS = 256
 

@@ -27,10 +27,10 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordwash.llm.common import quoted, row_digest, scratch
+from recordwash.llm.common import keep_for, quoted, row_digest, scratch
 
 WINDOW = 13
-SEGMENT_WORDS = 1_000_000
+SEGMENT_WORDS = 500_000
 PART_WORDS = 2_000_000
 #: A document is contaminated from this share of hit words on: 1 in 20.
 SHARE = 20
@@ -83,6 +83,7 @@ _ARROW_INDEX = pa.schema([
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keep_for("decontamination", lambda: None)
     keys, ids, docs, size = [], [], [], 0
     for batch in batches:
         for key, doc_id, text in zip(*batch.columns):

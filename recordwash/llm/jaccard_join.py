@@ -34,7 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordwash.llm.common import BLANK, join_groups, quoted, row_digest, scratch, text_of
+from recordwash.llm.common import (
+    BLANK,
+    join_groups,
+    keep_for,
+    quoted,
+    row_digest,
+    scratch,
+    text_of,
+)
 from recordwash.llm.components import components
 from recordwash.llm.exact_dedup import blocks_for, may_repeat, member_filter
 from recordwash.plans.staging import Staging
@@ -45,7 +53,7 @@ BANDS, ROWS = 32, 4
 STEP, TOLERANCE = 16, 1e-7
 #: Texts of a block; texts of a bucket that are compared in one task.
 BLOCK, BUCKET = 512, 4096
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 PERMUTATIONS = BANDS * ROWS
 
 _WORD = re.compile(r"[^ \t-\r]+")
@@ -68,6 +76,7 @@ class _Hashes(dict):
 
 @cache
 def _hashes() -> _Hashes:
+    keep_for("jaccard", _hashes.cache_clear)
     return _Hashes()
 
 

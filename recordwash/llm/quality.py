@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache, partial
@@ -28,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from recordwash.llm.common import add_column, free_name
+from recordwash.llm.common import add_column, free_name, keep_for
 from recordwash.llm.labelled import training_rows
 
 PASSAGE_WORDS = 64
@@ -47,14 +48,13 @@ class Words(dict):
     """A number for each word met, with the features of the word by that number."""
 
     def __init__(self) -> None:
-        self.rows: list[tuple[float, ...]] = []
-        self.table = np.zeros((0, PER_WORD), np.float32)
+        self.rows = array("f")
 
     def __missing__(self, word: str) -> int:
-        self[word] = number = len(self.rows)
+        self[word] = number = len(self)
         shape = _RUNS.sub(r"\1", _LOWER.sub("a", _UPPER.sub("A", word)))
         n, letters = len(word), sum(map(str.isalpha, word))
-        self.rows.append((
+        self.rows.extend((
             zlib.crc32(shape.encode()) % SHAPES, min(n, 40) / 10, float(word.isupper() and n > 1),
             float(letters == 0), (n - letters) / n, sum(map(str.isdigit, word)) / n,
             word.count("!") / n, float(n == 1),
@@ -62,14 +62,12 @@ class Words(dict):
         return number
 
     def features(self) -> np.ndarray:
-        if len(self.table) < len(self.rows):
-            new = np.array(self.rows[len(self.table) :], np.float32)
-            self.table = np.concatenate([self.table, new])
-        return self.table
+        return np.array(self.rows, np.float32).reshape(-1, PER_WORD)
 
 
 @cache
 def words_met() -> Words:
+    keep_for("quality", words_met.cache_clear)
     return Words()
 
 
@@ -79,7 +77,7 @@ N_FEATURES = (PER_WORD - 1) + 3 + SHAPES
 def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages of the texts, and each text's first passage."""
     met = words_met()
-    if len(met.rows) > KEPT_WORDS:
+    if len(met) > KEPT_WORDS:
         met.clear()
         met.__init__()
     numbers = []
@@ -103,7 +101,7 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     at = PER_WORD - 1
     same = (ids[1:] == ids[:-1]) & (passage[1:] == passage[:-1])
     out[:, at] = np.bincount(passage[1:][same], minlength=n) / count
-    distinct = np.unique(passage * len(met.rows) + ids) // len(met.rows)
+    distinct = np.unique(passage * len(met) + ids) // len(met)
     out[:, at + 1] = np.bincount(distinct, minlength=n) / count
     out[:, at + 2] = count / PASSAGE_WORDS
     shapes = np.bincount(passage * SHAPES + table[ids, 0].astype(np.int64), minlength=n * SHAPES)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from recordwash.llm.bpe import LATIN_DIGIT, Remembered, byte_letters, is_latin
-from recordwash.llm.common import text_of, total_bytes
+from recordwash.llm.common import keep_for, text_of, total_bytes
 from recordwash.llm.crc32c import crc32c, masked
 
 #: Bytes of text a file is made from.
@@ -123,6 +123,7 @@ class PieceEncoder:
 
 @lru_cache(maxsize=2)
 def piece_encoder(content: str) -> PieceEncoder:
+    keep_for("token files", piece_encoder.cache_clear)
     return PieceEncoder(content)
 
 
