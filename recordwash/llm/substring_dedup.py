@@ -23,14 +23,12 @@ table gives an empty result; other columns don't matter.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +38,12 @@ WINDOW = 13
 PAIR_ROUNDS = 4
 #: Bytes of text of a block, and of text whose names meet in a bucket.
 BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 32 << 20
-KEPT_WORDS = 200_000
+#: Bytes whose words are named at a time, and words whose windows get their anchors at a time.
+CHUNK_BYTES, CACHED_WORDS = 1 << 18, 1 << 15
 NO_ID = np.iinfo(np.int64).max
 
-_WORD = re.compile(r"[^ \t-\r]+")
 _U = np.uint64
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 
 ANSWER = "block long, bucket int, stage int, shared binary, firsts binary"
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string"
@@ -61,17 +60,46 @@ def named(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * _U(0x9E3779B97F4A7C15) + mix(right + _U(0x632BE59BD9B4E019)))
 
 
-class _Names(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = name = xxhash.xxh3_64_intdigest(word)
-        return name
-
-
 @cache
-def word_names() -> _Names:
-    return _Names()
+def _constants() -> tuple[np.ndarray, int, int]:
+    """A number for each byte, and an odd factor with its inverse modulo 2^64."""
+    random = np.random.default_rng(5)
+    numbers = random.integers(0, 1 << 63, 256, dtype=_U) * _U(2) + _U(1)
+    factor = int(random.integers(1 << 60, 1 << 61)) * 2 + 1
+    return numbers, factor, pow(factor, -1, 1 << 64)
+
+
+def word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Names of all words of the texts, in order, and each text's number of words.
+
+    Names are taken from prefix sums over the bytes, for all words of a chunk at once.
+    """
+    numbers, factor, inverse = _constants()
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    space = _SPACE[data]
+    before = np.append(True, space[:-1])
+    starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
+    if not len(starts):
+        return np.zeros(0, _U), np.zeros(len(texts), np.int64)
+    powers = np.cumprod(np.full(len(data), factor, _U))
+    sums = np.append(_U(0), np.cumsum(numbers[data] * powers))
+    back = np.cumprod(np.full(len(data), inverse, _U))
+    values = (sums[ends] - sums[starts]) * back[starts]
+    edges = np.cumsum([0] + [len(t) + 1 for t in texts])
+    counts = np.diff(np.searchsorted(starts, edges))
+    return mix(values + (ends - starts).astype(_U) * _U(0x9E3779B97F4A7C15)), counts
+
+
+def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= CHUNK_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 class Block:
@@ -80,12 +108,11 @@ class Block:
     def __init__(self, ids: list[int | None], texts: list[str]):
         self.given_ids = ids
         self.ids = np.array([NO_ID if i is None else i for i in ids], np.int64)
-        self.words = [_WORD.findall(text) for text in texts]
-        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.texts = [text.encode() for text in texts]
+        named_chunks = [word_names(chunk) for chunk in _chunks(self.texts)]
+        self.names = np.concatenate([names for names, _ in named_chunks])
+        self.sizes = np.concatenate([counts for _, counts in named_chunks])
         self.starts = np.cumsum(self.sizes) - self.sizes
-        names = word_names()
-        every = (n for words in self.words for n in map(names.__getitem__, words))
-        self.names = np.fromiter(every, _U, int(self.sizes.sum()))
         self.doc = np.repeat(np.arange(len(ids)), self.sizes)
         place = np.arange(len(self.names)) - self.starts[self.doc]
         #: First words of the windows.
@@ -99,36 +126,52 @@ class Block:
         return mix(total)
 
     def anchors(self) -> np.ndarray:
-        """Each window's anchor."""
-        first = self.windows
-        anchor, covered = np.zeros(len(first), _U), np.zeros(len(first), bool)
-        if not len(first):
-            return anchor
-        names, doc = self.names, self.doc
-        new = np.append(True, (names[1:] != names[:-1]) | (doc[1:] != doc[:-1]))
-        number = np.cumsum(new) - 1
-        lengths = np.diff(np.append(np.flatnonzero(new), len(names)))
-        names, doc = named(names[new], lengths.astype(_U)), doc[new]
-        # The first and last run of a window may go on outside it.
-        low, high = number[first] + 1, number[first + WINDOW - 1]
-        for level in range(PAIR_ROUNDS + 1):
-            inside = low < high
-            anchor[inside] = named(names[low[inside]], np.array([level], _U))
-            covered |= inside
-            if level == PAIR_ROUNDS:
-                break
-            right = mix(names + _U(level + 1)) >> _U(63) == 1
-            joins = ~right[:-1] & right[1:] & (doc[:-1] == doc[1:])
-            low = low + right[np.minimum(low, len(names) - 1)]
-            high = high - ~right[high - 1]
-            head = np.append(joins, False)
-            names = np.where(head, named(names, np.append(names[1:], _U(0))), names)
-            kept = np.append(True, ~joins)
-            number = np.append(np.cumsum(kept) - 1, int(kept.sum()))
-            names, doc = names[kept], doc[kept]
-            low, high = number[np.minimum(low, len(kept))], number[np.maximum(high, 0)]
-        anchor[~covered] = self.digests(first[~covered], 1)
-        return anchor
+        """Each window's anchor, a few documents at a time, so that the arrays stay in cache."""
+        ends = self.starts + self.sizes
+        cuts, last = [0], 0
+        for at in range(CACHED_WORDS, len(self.names) + CACHED_WORDS, CACHED_WORDS):
+            last = max(last, int(ends[np.searchsorted(ends, min(at, len(self.names)))]))
+            cuts.append(last)
+        found = [np.zeros(0, _U)]
+        for low, high in zip(cuts, cuts[1:]):
+            a, b = np.searchsorted(self.windows, [low, high])
+            if a < b:
+                first = self.windows[a:b]
+                part, own = _anchors(self.names[low:high], self.doc[low:high], first - low)
+                part[~own] = self.digests(first[~own], 1)
+                found.append(part)
+        return np.concatenate(found)
+
+
+def _anchors(
+    names: np.ndarray, doc: np.ndarray, first: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of the windows that begin at `first`, and which of them have one."""
+    anchor, covered = np.zeros(len(first), _U), np.zeros(len(first), bool)
+    new = np.append(True, (names[1:] != names[:-1]) | (doc[1:] != doc[:-1]))
+    number = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    lengths = np.diff(np.append(np.flatnonzero(new), len(names)))
+    names, doc = named(names[new], lengths.astype(_U)), doc[new]
+    # The first and last run of a window may go on outside it.
+    low, high = number[first] + np.int32(1), number[first + WINDOW - 1]
+    for level in range(PAIR_ROUNDS + 1):
+        inside = low < high
+        symbols = named(names, np.array([level], _U))
+        anchor[inside] = symbols[low[inside]]
+        covered |= inside
+        if level == PAIR_ROUNDS:
+            break
+        right = mix(names + _U(level + 1)) >> _U(63) == 1
+        joins = ~right[:-1] & right[1:] & (doc[:-1] == doc[1:])
+        low = low + right[np.minimum(low, len(names) - 1)]
+        high = high - ~right[high - 1]
+        head = np.append(joins, False)
+        names = np.where(head, named(names, np.append(names[1:], _U(0))), names)
+        kept = np.append(True, ~joins)
+        number = np.append(np.cumsum(kept, dtype=np.int32) - 1, int(kept.sum())).astype(np.int32)
+        names, doc = names[kept], doc[kept]
+        low, high = number[np.minimum(low, len(kept))], number[np.maximum(high, 0)]
+    return anchor, covered
 
 
 def _unique_by_doc(keys: np.ndarray, doc_rank: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -322,10 +365,13 @@ def _remove(n_buckets: int, key: tuple, docs: pa.Table, answers: pa.Table) -> pa
     kept = np.cumsum(edge[:-1]) == 0
     removed = np.concatenate([[0], np.cumsum(~kept)])
     n_removed = removed[block.starts + block.sizes] - removed[block.starts]
-    texts = [
-        " ".join(compress(words, kept[a : a + len(words)].tolist()) if n else words)
-        for words, a, n in zip(block.words, block.starts.tolist(), n_removed.tolist())
-    ]
+    texts = []
+    for text, a, size, n in zip(
+        block.texts, block.starts.tolist(), block.sizes.tolist(), n_removed.tolist()
+    ):
+        words = text.split()  # of bytes: at space and tab to carriage return
+        words = compress(words, kept[a : a + size].tolist()) if n else words
+        texts.append(b" ".join(words).decode())
     return pa.table({
         "doc_id": pa.array(block.given_ids, pa.int64()),
         "n_words": pa.array(block.sizes, pa.int64()),
