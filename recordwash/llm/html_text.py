@@ -6,8 +6,13 @@ the nearest container. A line's ratio is its characters over its tags; ratios ar
 by a Gaussian over the lines of the page, and their standard deviation is the threshold that
 parts content from the rest. A region is content if its lines' mean smoothed ratio, weighted by
 length, reaches it; its lines are then kept whole, short ones too. A page that has an
-article or main element has its content there. Lines in menus, adverts, comments and the like,
-told by their element or by a word of its class or id, count for the threshold only.
+article or main element has its content there. Lines in menus, forms, hidden parts and the like,
+told by their element or its role, count for the threshold only.
+
+A word like "ad" or "comments" in a class or id only makes a region doubtful: inside an article
+it becomes a region of its own, and it is content if it also reaches the mean of the smoothed
+ratios, or if no other region reaches the threshold. A container around an article or main
+element isn't doubtful, and neither is a name that says more than the word ("no-sidebar").
 
 Character references are decoded, white space in a block becomes one space, and blocks are
 joined by an empty line.
@@ -56,6 +61,8 @@ BOILERPLATE_WORDS = frozenset(
     " newsletter notice pagination popup promo related respond share sharing sidebar signup"
     " social sponsor sponsored subscribe widget".split()
 )
+#: A name with one of these says where a boilerplate word stands or lacks, not what is inside.
+LAYOUT_WORDS = frozenset("content has main no with wrap".split())
 BOILERPLATE_ROLES = frozenset(
     "alert banner complementary contentinfo dialog form menu navigation search".split()
 )
@@ -70,6 +77,8 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, bool]] = []
         self.in_content: list[bool] = [False]
+        self._doubtful: list[bool] = [False]
+        self._around: list[int] = [0]  # the region that a region lies in
         self._open: list[tuple[str, int, bool]] = []  # element, region, can be content
         self._text: list[str] = []
         self._tags = 0
@@ -96,9 +105,16 @@ class Lines(HTMLParser):
         if tag in CONTAINERS or drop:
             inside = self.in_content[region]
             drop = drop or self._boilerplate(tag, attrs, inside)
-            if not inside:
+            doubtful = can and not drop and self._doubted(tag, attrs, inside)
+            if not inside or doubtful:
+                self._around.append(region)
                 region = len(self.in_content)
-                self.in_content.append(tag in CONTENT and can and not drop)
+                starts = tag in CONTENT and can and not drop
+                self.in_content.append(inside or starts)
+                self._doubtful.append(doubtful)
+                if starts:
+                    for around in {0, region, *(r for _, r, _ in self._open)}:
+                        self._doubtful[around] = False
             if tag in CONTAINERS and tag not in BLOCKS:
                 self._end_line()
             self._unseen += tag in INLINE
@@ -111,16 +127,32 @@ class Lines(HTMLParser):
         if tag == "header":
             return not inside
         values = {k: (v or "").lower() for k, v in attrs}
-        words = _WORD.findall(values.get("class", "") + " " + values.get("id", ""))
         return (
-            not BOILERPLATE_WORDS.isdisjoint(words)
-            or (not inside and "header" in words)
-            or values.get("role") in BOILERPLATE_ROLES
+            values.get("role") in BOILERPLATE_ROLES
             or "hidden" in values
             or values.get("aria-hidden") == "true"
             or "display:none" in values.get("style", "").replace(" ", "")
         )
 
+    @staticmethod
+    def _doubted(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
+        if tag == "body" or tag == "header" or tag in CONTENT:
+            return False
+        names = " ".join(v.lower() for k, v in attrs if k in ("class", "id") and v).split()
+        for words in map(_WORD.findall, names):
+            if LAYOUT_WORDS.isdisjoint(words) and (
+                not BOILERPLATE_WORDS.isdisjoint(words) or (not inside and "header" in words)
+            ):
+                return True
+        return False
+
+    def doubtful(self) -> list[bool]:
+        """Whether a region, or one around it, is doubtful."""
+        found: list[bool] = []
+        for own, around in zip(self._doubtful, self._around):
+            found.append(own or (bool(found) and found[around]))
+        return found
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -182,7 +214,11 @@ def content_lines(page: Lines) -> list[str]:
     weight = np.bincount(regions[may], lengths[may], size)
     total = np.bincount(regions[may], (lengths * ratios)[may], size)
     score = np.divide(total, weight, out=np.full(size, -1.0), where=weight > 0)
-    chosen = score >= min(threshold, score.max())
+    clear = (weight > 0) & ~np.array(page.doubtful())
+    if (score[clear] >= threshold).any():
+        chosen = score >= np.where(clear, threshold, max(threshold, ratios.mean()))
+    else:
+        chosen = score >= min(threshold, score.max())
     return [text for (text, *_), ok in zip(lines, may & chosen[regions]) if ok]
 
 

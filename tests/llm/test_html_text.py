@@ -36,6 +36,25 @@ def test_defined_results():
     assert main_text("a &lt;b&gt; &#233; &bogus;") == "a <b> é &bogus;"
 
 
+def test_words_of_a_name_alone_remove_nothing():
+    body = f"<p>{LONG * 3}</p><p>Short.</p>"
+    want = " ".join((LONG * 3).split()) + "\n\nShort."
+    menu = "<ul class=menu><li>a<li>b<li>c</ul>"
+    for page in (
+        f"<div class='content-sidebar-wrap'>{menu}<main>{body}</main></div>",
+        f"<div class='site no-sidebar'>{menu}<article>{body}</article></div>",
+        f"<div class='widget'><div>{menu}</div><div><article>{body}</article></div></div>",
+        f"<div class='has-ads'>{menu}{body}</div>",
+        f"<div id='social'>{body}</div><p>x</p>{menu}",
+    ):
+        assert main_text(page) == want
+    for name in ("related-work", "menu-items", "login-flow", "cookies"):
+        page = f"<article><h1>Head</h1>{body}<section id='{name}'><h2>More</h2>{body}</section>{menu}</article>"
+        assert main_text(page) == f"Head\n\n{want}\n\nMore\n\n{want}"
+    page = f"<article>{body}<div class=ad>Buy now</div><p>{LONG}</p></article><div class=ad>Buy</div>"
+    assert main_text(page) == want + "\n\n" + LONG.strip()
+
+
 def test_smoothing_keeps_constants_and_order():
     assert np.allclose(html_text.smoothed(np.full(7, 3.0)), 3.0)
     assert html_text.smoothed(np.array([0.0, 0, 9, 0, 0])).argmax() == 2
