@@ -5,13 +5,16 @@ with its number of tags and the region it lies in: the outermost article or main
 the nearest container. A line's ratio is its characters over its tags; ratios are smoothed
 by a Gaussian over the lines of the page, and their standard deviation is the threshold that
 parts content from the rest. A region is content if its lines' mean smoothed ratio, weighted by
-length, reaches it; its lines are then kept whole, short ones too. A page that has an
-article or main element has its content there. Lines in menus, forms, hidden parts and the like,
-told by their element or its role, count for the threshold only.
+length, reaches it; its lines are then kept whole, short ones too. An article or main element
+needs only `ARTICLE_SHARE` of the threshold; regions outside it are judged like those of any page.
+Lines in menus, forms, hidden parts and the like, told by their element or its role, count for
+the threshold only.
 
 A word like "ad" or "comments" in a class or id only makes a region doubtful: inside an article
 it becomes a region of its own, and it is content if it also reaches the mean of the smoothed
-ratios, or if no other region reaches the threshold. A container around an article or main
+ratios, or if no other region reaches the threshold. Beside articles that are content, doubtful
+regions must also hold more text than what is sure, which counts 1 / `ARTICLE_SHARE` times.
+A container around an article or main
 element isn't doubtful, and neither is a name that says more than the word ("no-sidebar").
 
 Character references are decoded, white space in a block becomes one space, and blocks are
@@ -36,6 +39,8 @@ from pyspark.sql import types as T
 from recordwash.llm.common import add_column, free_name
 
 SIGMA = 1.0
+#: Of what other regions need, what an article or main element must reach.
+ARTICLE_SHARE = 0.25
 
 # Elements and words of HTML pages.
 BLOCKS = frozenset(
@@ -207,18 +212,23 @@ def content_lines(page: Lines) -> list[str]:
     lengths = np.array([len(text) for text, *_ in lines], float)
     ratios = smoothed(lengths / np.array([max(1, tags) for _, tags, *_ in lines]))
     threshold = ratios.std()
-    in_article = any(can and page.in_content[region] for _, _, region, can in lines)
-    may = np.array([can and page.in_content[region] >= in_article for _, _, region, can in lines])
+    may = np.array([can for *_, can in lines])
     regions = np.array([region for _, _, region, _ in lines])
     size = len(page.in_content)
     weight = np.bincount(regions[may], lengths[may], size)
     total = np.bincount(regions[may], (lengths * ratios)[may], size)
     score = np.divide(total, weight, out=np.full(size, -1.0), where=weight > 0)
-    clear = (weight > 0) & ~np.array(page.doubtful())
-    if (score[clear] >= threshold).any():
-        chosen = score >= np.where(clear, threshold, max(threshold, ratios.mean()))
-    else:
-        chosen = score >= min(threshold, score.max())
+    doubtful = np.array(page.doubtful())
+    inside = np.array(page.in_content)
+    chosen = score >= np.where(inside & ~doubtful, ARTICLE_SHARE * threshold, threshold)
+    if (clear := chosen & ~doubtful).any():
+        dense = chosen & doubtful & (score >= ratios.mean())
+        beside = dense & ~inside
+        if (clear & inside).any() and ARTICLE_SHARE * weight[beside].sum() <= weight[clear].sum():
+            dense &= inside
+        chosen = clear | dense
+    elif not chosen.any():
+        chosen = score >= score.max()
     return [text for (text, *_), ok in zip(lines, may & chosen[regions]) if ok]
 
 

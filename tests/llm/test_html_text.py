@@ -55,6 +55,20 @@ def test_words_of_a_name_alone_remove_nothing():
     assert main_text(page) == want + "\n\n" + LONG.strip()
 
 
+def test_text_beside_articles():
+    text = " ".join((LONG * 3).split())
+    card = "<article><h3><a href=x><b>A</b> <i>card</i></a></h3></article>"
+    menu = "<ul><li>a<li>b<li>c<li>d</ul>"
+    page = f"<div><p>{LONG * 3}</p><p>{LONG * 3}</p></div>{menu}<div>{card * 5}</div>"
+    assert main_text(page) == f"{text}\n\n{text}"
+    page = f"<article><p>{LONG * 3}</p></article><nav>a</nav><article><p>Short answer, but one of its own.</p></article>"
+    assert main_text(page) == f"{text}\n\nShort answer, but one of its own."
+    page = f"<article><p>{LONG}</p></article><div><p>{LONG * 3}</p></div>{menu}<div><a>x</a> <a>y</a></div>"
+    assert main_text(page) == f"{LONG.strip()}\n\n{text}"
+    page = f"<div class=share><p>{LONG * 3}</p></div><article><p>A short card</p></article><div class=ad>Buy</div>"
+    assert main_text(page) == f"{text}\n\nA short card"
+
+
 def test_smoothing_keeps_constants_and_order():
     assert np.allclose(html_text.smoothed(np.full(7, 3.0)), 3.0)
     assert html_text.smoothed(np.array([0.0, 0, 9, 0, 0])).argmax() == 2
