@@ -159,50 +159,60 @@ class Segment:
     def document(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, places, "right") - 1
 
-    def search(self, wanted: Phrases, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """(start, phrase) of every match."""
+    def search(self, wanted: Phrases, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, phrase, document) of every match."""
+        none = np.zeros(0, np.int64)
         if not len(wanted.rows) or not len(self.terms):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return none, none, none
         own = pc.index_in(wanted.arrow_terms, value_set=self.terms).fill_null(-1).to_numpy()
         own = np.append(own, -2)  # for the filling
         coded = own[wanted.rows]
-        starts, which = [], []
+        starts, which, docs = [], [], []
         for phrase in np.flatnonzero((coded != -1).all(1)):
-            found = self._matches(coded[phrase, : wanted.lengths[phrase]], slop)
+            found, doc = self._matches(coded[phrase, : wanted.lengths[phrase]], slop)
             if len(found):
                 starts.append(found)
+                docs.append(doc)
                 which.append(np.full(len(found), phrase))
         if not starts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(starts), np.concatenate(which)
+            return none, none, none
+        return np.concatenate(starts), np.concatenate(which), np.concatenate(docs)
 
-    def _matches(self, terms: np.ndarray, slop: int) -> np.ndarray:
-        """Starts of a phrase, from its rarest term's list on."""
+    def _matches(self, terms: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and documents of a phrase, from its rarest term's list on.
+
+        With a slop a term may stand elsewhere, but in the document of the rarest one; a start
+        may then lie before that document.
+        """
         order = np.argsort(self.counts[terms], kind="stable")
         starts = self.postings(terms[order[0]]) - order[0]
         for place in order[1:]:
             if not len(starts):
                 break
             others = self.postings(terms[place]) - place
-            near = np.searchsorted(others, starts - slop)
+            least = starts - slop
+            if slop:
+                doc = self.document(starts + order[0])
+                first = self.starts[doc] - place
+                least = np.maximum(least, first)
+            near = np.searchsorted(others, least)
             near_place = others[np.minimum(near, len(others) - 1)]
             fits = (near < len(others)) & (near_place <= starts + slop)
-            if slop:  # a term may stand elsewhere, but in the same document
-                anchor = self.document(starts + order[0])
-                fits &= anchor == self.document(near_place + place)
+            if slop:
+                fits &= near_place < first + self.sizes[doc]
             starts = starts[fits]
-        return starts
+        return starts, self.document(starts + order[0])
 
     def hits(self, wanted: Phrases) -> tuple[np.ndarray, list[list[str]]]:
         """Hit words and found items of each document."""
-        starts, which = self.search(wanted)
+        starts, which, docs = self.search(wanted)
         edge = np.zeros(int(self.starts[-1] + self.sizes[-1]) + 2, np.int32)
         np.add.at(edge, starts, 1)
         np.add.at(edge, starts + wanted.lengths[which], -1)
         covered = np.concatenate([[0], np.cumsum(np.cumsum(edge) > 0)])
         n_hit = covered[self.starts + self.sizes] - covered[self.starts]
         items: list[set[str]] = [set() for _ in self.keys]
-        pairs = np.stack([self.document(starts), wanted.item_of[which]], 1)
+        pairs = np.stack([docs, wanted.item_of[which]], 1)
         for doc, item in np.unique(pairs, axis=0).tolist():
             items[doc].add(wanted.items[item])
         return n_hit, [sorted(x) for x in items]
@@ -232,8 +242,7 @@ def _found(
 ) -> Iterator[pa.RecordBatch]:
     wanted = shared.value
     for segment in _rows(batches):
-        starts, which = segment.search(wanted, slop)
-        doc = segment.document(starts + wanted.lengths[which] // 2 if slop else starts)
+        starts, which, doc = segment.search(wanted, slop)
         yield pa.RecordBatch.from_pydict({
             "key": pa.array([segment.keys[d] for d in doc], pa.string()),
             "doc_id": pa.array([segment.doc_ids[d] for d in doc], pa.int64()),

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -100,6 +101,42 @@ def test_phrases_and_proximity(spark):
     assert (row["item"], row["start"], row["length"]) == ("7", 1, 3)
 
 
+def near_matches(rows, term, slop):
+    """Brute force: (document, start) of each place of the rarest term with the others near."""
+    counts = Counter(w for _, text in rows for w in words(text))
+    anchor = min(range(len(term)), key=lambda i: counts[term[i]])
+    out = Counter()
+    for i, text in rows:
+        own = words(text)
+        for place in (p for p, w in enumerate(own) if w == term[anchor]):
+            start = place - anchor
+            if all(
+                any(w == t and abs(q - j - start) <= slop for q, w in enumerate(own))
+                for j, t in enumerate(term) if j != anchor
+            ):
+                out[i, start] += 1
+    return out
+
+
+def test_proximity_beside_other_documents(spark):
+    def check(rows, item, slop):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        wanted = spark.createDataFrame([(7, item)], "item_id long, text string")
+        index = decontaminate.build_index(docs)
+        found = decontaminate.find(index, wanted, window=None, slop=slop).collect()
+        want = near_matches(rows, words(item), slop)
+        assert Counter((r["doc_id"], r["start"]) for r in found) == want
+        return want
+
+    assert check([(1, "a fox"), (2, "quick fox")], "quick fox", 3) == {(2, 0): 1}
+    assert check([(1, "b c b c"), (2, "a b c")], "b c a", 3)[2, -2] == 1
+    draw = random.Random(4)
+    rows = [(i, " ".join(draw.choices("abcd", (4, 3, 3, 1), k=draw.randint(0, 7)))) for i in range(60)]
+    for item in ("a b", "d a b", "b c d a"):
+        for slop in (0, 1, 2, 4):
+            assert check(rows, item, slop) or item == "b c d a"
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs, empty = cases.frame(spark), cases.empty(spark)
