@@ -50,10 +50,11 @@ SECOND_PERSON = frozenset(
 LOOK_ALIKE = str.maketrans("013457@$!|", "oieastasil")
 
 _WORD = re.compile(r"[^\W\d_]+")
-# From the start of a token and without giving anything back, so in linear time.
+# From the start of a token and without giving anything back, so in linear time: letters with
+# signs before them, and maybe inside and after; or letters with signs inside, or only after.
 _DISGUISED = re.compile(
-    r"(?<![^\W_])(?:[0-9@$]++[^\W\d_]++|[^\W\d_]++(?:[0-9@$!|*.\-]++[^\W\d_]++)++[0-9@$]*+"
-    r"|[^\W\d_]++[0-9@$]++)"
+    r"(?<![^\W_])(?<![@$])(?:[0-9@$]++[^\W\d_]++(?:[0-9@$!|*.\-]++[^\W\d_]++)*+[0-9@$]*+"
+    r"|[^\W\d_]++(?:(?:[0-9@$!|*.\-]++[^\W\d_]++)++[0-9@$]*+|[0-9@$]++))"
 )
 _SIGNS = re.compile(r"[*.\-]+")
 

@@ -125,6 +125,16 @@ def test_toxic_features():
     assert toxicity.features("", known) == [0.0] * len(toxicity.FEATURES)
 
 
+def test_signs_at_several_places_of_a_word():
+    known = toxicity.Lexicons(dict.fromkeys(["idiot", "shit", "asshole", "stupid", "awful"], 3.0), {})
+    at = toxicity.FEATURES.index("disguised_hits")
+    for text in ("1d10t", "$h1t", "@ssh0le", "5tup1d", "id1ot", "@w-f.ul", "1di07", "(@sshol3)", "@wful"):
+        assert toxicity.features(text, known)[at] == 1
+    assert toxicity.features("1d10t $h1t, @ssh0le! 5tup1d; idiot, word 12 @ $$ a_1", known)[at] == 4
+    for endless in ("@" * 300_000, "1@" * 150_000, "a!@" * 100_000, "1d-" * 100_000, "a@!" * 100_000):
+        assert len(toxicity.features(endless, known)) == len(toxicity.FEATURES)
+
+
 def test_scores_of_awkward_rows(spark):
     toxic = "you worthless scum of a moron"
     rows = [(i, cases.sentence(i, 30) + (f" {toxic} " if i % 3 == 0 else "")) for i in range(400)]
