@@ -5,8 +5,9 @@ Each passage is encoded by features of its words (shapes, case, signs, repetitio
 layer. Gated attention gives each passage a weight, learned from document labels alone; the
 weighted mean of the encodings is scored.
 
-The model, a few thousand numbers, is fitted on the driver to at most `TRAINING_ROWS` labelled
-rows, whose features the tasks make (about 2 kB a document), and broadcast for scoring.
+The model, a few thousand numbers, is fitted on the driver to the rows of at most
+`TRAINING_ROWS` labelled ids, whose features the tasks make, and broadcast for scoring. Features
+take 232 bytes a passage, whatever the number of passages or of rows of an id.
 
 Defined results: null text counts as empty; an empty text is one passage of zeros and gets a
 score too. Without training rows of both labels the score is the share of label 1, or 0.5 if
