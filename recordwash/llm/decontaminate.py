@@ -6,7 +6,8 @@ shuffle. A search takes a phrase's terms from the rarest in the segment on and i
 lists, each moved back by the term's place in the phrase; what is left are the exact matches.
 With a slop, terms may stand that far from their place.
 
-The benchmark is taken in parts of about `PART_WORDS` words; only a part is broadcast at a time.
+The benchmark is taken in parts of about `PART_WORDS` words, dealt by their text: items of one
+text are one part, and a broadcast of each part is held until the result has been written.
 
 Defined results: null texts have no words; an item without words matches nothing; items of one
 id count once; an item without id is named "null"; rows of one doc_id each get their row; empty
