@@ -94,9 +94,98 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+OP13 = r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    text,
+    xor(4294967295, list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                       lambda c: ascii(c)::BIGINT)),
+      lambda c, b: list_reduce(
+        list_concat([xor(c, b)], range(8)),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 3 = 0 AS altered
+  FROM documents
+),
+leaves AS (
+  SELECT doc_id, lang, altered,
+    sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(text) || ':' || translate(
+      text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered
+  FROM f
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves
+),
+nodes AS (
+  SELECT 0 AS level, lang, pos, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT level + 1, lang, pos // 8,
+         CAST(ceil(max(n) / 8) AS BIGINT), sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY level, lang, pos // 8
+),
+subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+),
+upper_nodes AS (
+  SELECT 0 AS level, pos, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, CAST(ceil(max(n) / 8) AS BIGINT), sha256(string_agg(h, '' ORDER BY pos))
+  FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 8
+),
+steps AS (
+  SELECT a.level, a.lang, a.pos,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b
+    ON a.level = b.level AND a.lang IS NOT DISTINCT FROM b.lang AND a.pos // 8 = b.pos // 8
+  WHERE a.n > 1 GROUP BY a.level, a.lang, a.pos
+),
+upper_steps AS (
+  SELECT a.level, a.pos,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM upper_nodes a JOIN upper_nodes b ON a.level = b.level AND a.pos // 8 = b.pos // 8
+  WHERE a.n > 1 GROUP BY a.level, a.pos
+),
+climb AS (
+  SELECT doc_id, lang, 0 AS level, pos, CASE WHEN altered THEN lowered ELSE leaf END AS h, '' AS s
+  FROM placed
+  UNION ALL
+  SELECT doc_id, c.lang, c.level + 1, c.pos // 8, sha256(l || c.h || r), c.s || l || r
+  FROM climb c JOIN steps
+    ON c.level = steps.level AND c.lang IS NOT DISTINCT FROM steps.lang AND c.pos = steps.pos
+),
+tops AS (
+  SELECT doc_id, lang, h, s FROM climb
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1
+),
+upper_climb AS (
+  SELECT doc_id, 0 AS level, r.pos, t.h, t.s FROM tops t JOIN subroots r ON t.lang IS NOT DISTINCT FROM r.lang
+  UNION ALL
+  SELECT doc_id, c.level + 1, c.pos // 8, sha256(l || c.h || r), c.s || l || r
+  FROM upper_climb c JOIN upper_steps u ON c.level = u.level AND c.pos = u.pos
+),
+ends AS (
+  SELECT doc_id, h, s FROM upper_climb
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1
+)
+SELECT doc_id, leaf, r.h AS subroot, t.h AS root,
+       sha256(s) AS proof_sha256, e.h AS folded_root, e.h = t.h AS verified
+FROM ends e JOIN placed p USING (doc_id) JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
+JOIN upper_nodes t ON t.n = 1
+"""
+
 ORACLE_SQL = {
     "op1_exact_dedup": OP1,
     "op3_substring_dedup": OP3,
     "op4_decontaminate": OP4,
     "op9_warc": OP9,
+    "op13_merkle": OP13,
 }

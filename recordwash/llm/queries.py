@@ -12,6 +12,7 @@ from recordwash.llm import (
     exact_dedup,
     html_text,
     jaccard_join,
+    merkle,
     quality,
     substring_dedup,
     token_files,
@@ -115,6 +116,30 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows, folded from the leaves as they are after some texts were altered."""
+    altered = [F.translate("text", UPPER, LOWER) if c == "text" else F.col(c) for c in MANIFEST_COLUMNS]
+    tampered = F.when(in_fold("doc_id", 3, 0), merkle.leaf(altered))
+    out = scratch(spark).path("manifest")
+    merkle.write_manifest(
+        table(spark, sf_dir, "documents"), out, MANIFEST_COLUMNS, "lang", "doc_id",
+        {"tampered": tampered},
+    )
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("steps"))
+    return merkle.proofs(spark, out).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("steps")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -126,4 +151,5 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
+    "op13_merkle": op13_merkle,
 }
