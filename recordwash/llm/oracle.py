@@ -94,6 +94,30 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+#: All pairs in double precision; components by spreading the least id along the links.
+OP12 = r"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+),
+u AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS norm FROM e),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+    ON a.vec_id <> b.vec_id AND list_inner_product(a.v, b.v) >= 0.9 * a.norm * b.norm
+),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
 OP13 = r"""
 WITH RECURSIVE f AS (
   SELECT doc_id, lang,
@@ -187,5 +211,6 @@ ORACLE_SQL = {
     "op3_substring_dedup": OP3,
     "op4_decontaminate": OP4,
     "op9_warc": OP9,
+    "op12_embed_dedup": OP12,
     "op13_merkle": OP13,
 }

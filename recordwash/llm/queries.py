@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordwash.llm import (
+    align,
     bpe,
     decontaminate,
+    embed_dedup,
     exact_dedup,
     html_text,
     jaccard_join,
@@ -23,6 +25,7 @@ from recordwash.llm.common import scratch, table
 from recordwash.llm.labelled import in_fold
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 
@@ -116,6 +119,17 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return align.align(
+        table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE, derive={"groups_sha256": digest}
+    )
+
+
+def op12_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
 MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -151,5 +165,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
+    "op11_align": op11_align,
+    "op12_embed_dedup": op12_embed_dedup,
     "op13_merkle": op13_merkle,
 }
