@@ -5,6 +5,7 @@ Used unchanged by the batch job and, per micro-batch, by the streaming job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,10 @@ from recordwash.operators.rules import judge
 from recordwash.plans.staging import Staging
 from recordwash.schema import DATE_FIELDS, DUPLICATES, MAIN, POSITION, RECORD_FIELDS, REVIEW
 
+#: Keys that are known, or a look-up of a batch's keys.
+History = DataFrame | Callable[[DataFrame], DataFrame]
+
+
 @dataclass
 class Washed:
     """`records` has a `dest` (main / duplicates / review); `rejects` could not be read.
@@ -75,7 +80,7 @@ def routed(
 
 
 def _setbacks(
-    rows: DataFrame, history: DataFrame | None, order: list[str], staging: Staging,
+    rows: DataFrame, history: History | None, order: list[str], staging: Staging,
     broadcast_rows: int,
 ) -> DataFrame:
     """Rows that do not follow their route, with the reason: copy, batch or history.
@@ -97,7 +102,8 @@ def _setbacks(
     ).join(heads.select("row_id", F.lit(True).alias("is_head")), "row_id", "left")
     known = F.lit(False)
     if history is not None:
-        hit = hits(heads, history, ["match_key"], broadcast_rows)
+        past = history(heads.select("match_key")) if callable(history) else history
+        hit = hits(heads, past, ["match_key"], broadcast_rows)
         marked = marked.join(
             hit.select("row_id", F.lit(True).alias("is_known")), "row_id", "left"
         )
@@ -115,7 +121,7 @@ def _setbacks(
 
 def wash(
     messages: DataFrame,
-    history: DataFrame | None,
+    history: History | None,
     staging: Staging,
     *,
     order: tuple[str, ...] = ("crawlDate",),
@@ -125,7 +131,8 @@ def wash(
 ) -> Washed:
     """Send each message to main, duplicates or review.
 
-    `history` holds the `match_key` of what main already has. Among rows of one key the
+    `history` holds the `match_key` of what main already has, or gives, for a stored table of
+    the batch's keys, those of main that may be among them. Among rows of one key the
     first by `order`, then by position, goes on to main; dates are ordered as dates, then
     what is no date, as text, then what is missing. Exact copies of a message are
     dropped. `staging` must live until the results are written.

@@ -47,7 +47,7 @@ RECORD_SCHEMA = T.StructType([
     for f in RECORD_FIELDS
 ])
 
-# What the record store holds. `run` / `batch_id` / `dest` are directory partitions.
+# What the record store holds; each `dest` in folders of its own.
 # caseNumber is nullable here: route 2 and the review table have records without one.
 STORED_SCHEMA = T.StructType(
     [T.StructField("row_key", T.StringType())]
@@ -93,6 +93,29 @@ PROGRESS_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
 ])
 
+#: Where each group of readers goes on; `version` grows with every change of a row.
+OFFSET_SCHEMA = T.StructType([
+    T.StructField("group_id", T.StringType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("part", T.IntegerType()),
+    T.StructField("until_offset", T.LongType()),
+    T.StructField("version", T.LongType()),
+])
+
+#: Where the clean-up of delimited lines sends a line, and what it stores.
+CLEANED, REJECTED = "cleaned", "rejected"
+LINE_SCHEMA = T.StructType(
+    [T.StructField(f, T.StringType()) for f in [*DELIMITED_FIELDS, "caseType"]]
+    + [
+        T.StructField("value", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("line_key", T.BinaryType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("dest", T.StringType()),
+    ]
+)
+
 WORD_COUNT_SCHEMA = T.StructType([
     T.StructField("word", T.StringType()),
     T.StructField("n", T.LongType()),

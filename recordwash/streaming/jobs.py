@@ -12,14 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from recordwash.operators.offsets import as_starting_offsets, offset_ranges, start_map
 from recordwash.operators.words import word_count
+from recordwash.plans.batch import known_records
 from recordwash.plans.staging import Staging
-from recordwash.plans.wash import wash
 from recordwash.plans.store import Store, run_id
+from recordwash.plans.wash import wash
 from recordwash.schema import POSITION
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
-#: Micro-batches after which the kept offsets are merged.
-COMPACT_EVERY = 200
 UNTIL_CAUGHT_UP = {"availableNow": True}
 
 BatchStep = Callable[[DataFrame, str, int], None]
@@ -57,25 +56,9 @@ def _kept(batch: DataFrame) -> Iterator[None]:
         batch.unpersist()
 
 
-def save_progress(
-    store: Store, batch: DataFrame, group_id: str, run: str, batch_id: int
-) -> None:
-    """Add the batch's offset ranges; readers take the latest row per partition.
-
-    Every `COMPACT_EVERY` batches the table is merged to one row per partition.
-    """
-    ranges = offset_ranges(batch).select(
-        F.lit(group_id).alias("group_id"), "topic", "part", "from_offset", "until_offset",
-        F.current_timestamp().alias("committed_at"),
-    )
-    store.write_batch(ranges, "progress", run, batch_id)
-    if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-        store.compact_progress()
-
-
 def saved_starts(store: Store, group_id: str) -> dict[str, dict[int, int]]:
     """Stored next offsets of a group, for a Kafka source's first start."""
-    return as_starting_offsets(start_map(store.read("progress"), group_id, "committed_at"))
+    return as_starting_offsets(start_map(store.read("offsets"), group_id, "version"))
 
 
 def start_wash(
@@ -88,15 +71,15 @@ def start_wash(
     **options: object,
 ) -> StreamingQuery:
     """Wash a message stream into the tables under `root`; `options` go to `wash`."""
-    Store(source.sparkSession, root).create("records", "rejects", "progress")
+    Store(source.sparkSession, root).create()
 
     def step(batch: DataFrame, run: str, batch_id: int) -> None:
         store = Store(batch.sparkSession, root)
-        with Staging(batch.sparkSession) as staging:
-            washed = wash(batch, store.history(run, batch_id), staging, **options)
-            store.write_batch(washed.records, "records", run, batch_id)
-            store.write_batch(washed.rejects, "rejects", run, batch_id)
-            save_progress(store, washed.positions, group_id, run, batch_id)
+        with Staging(batch.sparkSession) as staging, store.batch(run, batch_id) as tables:
+            washed = wash(batch, known_records(store, run, batch_id), staging, **options)
+            tables.add("records", washed.records)
+            tables.add("rejects", washed.rejects)
+            tables.progress(offset_ranges(washed.positions), group_id)
 
     return _start(source, checkpoint, trigger or EVERY_5_SECONDS, step)
 
@@ -110,13 +93,13 @@ def start_word_count(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Count words per micro-batch, not cumulatively, and keep the offsets read."""
-    Store(source.sparkSession, root).create("word_counts", "progress")
+    Store(source.sparkSession, root).create()
 
     def step(batch: DataFrame, run: str, batch_id: int) -> None:
         store = Store(batch.sparkSession, root)
-        with _kept(batch):
-            store.write_batch(word_count(batch), "word_counts", run, batch_id)
-            save_progress(store, batch, group_id, run, batch_id)
+        with _kept(batch), store.batch(run, batch_id) as tables:
+            tables.add("word_counts", word_count(batch))
+            tables.progress(offset_ranges(batch), group_id)
 
     return _start(source, checkpoint, trigger or EVERY_5_SECONDS, step)
 
@@ -134,15 +117,15 @@ def start_echo(
 
     `preview` rows of each micro-batch are shown on the console as well.
     """
-    Store(source.sparkSession, root).create("echo", "progress")
+    Store(source.sparkSession, root).create()
 
     def step(batch: DataFrame, run: str, batch_id: int) -> None:
         store = Store(batch.sparkSession, root)
-        with _kept(batch):
+        with _kept(batch), store.batch(run, batch_id) as tables:
             messages = batch.select("value", *POSITION)
-            store.write_batch(messages, "echo", run, batch_id)
+            tables.add("echo", messages)
             if preview:
                 messages.show(preview, truncate=False)
-            save_progress(store, batch, group_id, run, batch_id)
+            tables.progress(offset_ranges(batch), group_id)
 
     return _start(source, checkpoint, trigger or EVERY_5_SECONDS, step)

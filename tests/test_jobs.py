@@ -14,7 +14,6 @@ from recordwash.plans.wash import wash
 from recordwash.schema import MESSAGE_SCHEMA, RECORD_FIELDS
 from recordwash.sources import messages as sources
 from recordwash.sources import ranges
-from recordwash.streaming import jobs
 from recordwash.streaming.jobs import (
     UNTIL_CAUGHT_UP, saved_starts, start_echo, start_wash, start_word_count,
 )
@@ -226,20 +225,7 @@ def test_echo_keeps_every_message_whole_and_its_offsets(spark, tmp_path, capsys)
     assert [(r["offset"], r["value"]) for r in stored] == list(enumerate(values, 5))
     row = Store(spark, root).read("progress").first()
     assert (row["from_offset"], row["until_offset"]) == (5, 66)
-
-
-def test_progress_is_merged_to_a_row_per_partition(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(jobs, "COMPACT_EVERY", 4)
-    root = str(tmp_path / "store")
-    store = Store(spark, root)
-    store.create("progress")
-    for i in range(9):
-        batch = stream_rows(spark, ["a", "b"], 10 * i)
-        jobs.save_progress(store, batch, "g", "run", i)
-    assert len(os.listdir(f"{root}/progress/run=compacted")) == 1
-    assert os.listdir(f"{root}/progress/run=run") == ["batch_id=8"]
-    assert store.read("progress").count() == 2
-    assert saved_starts(store, "g") == {"cases": {0: 82}}
+    assert saved_starts(Store(spark, root), "echo") == {"cases": {0: 66}}
 
 
 def test_upsert_replaces_by_key(spark):

@@ -255,6 +255,14 @@ ORACLE_SQL: dict[str, str] = {
         SELECT min(k) AS k FROM packed GROUP BY value
       ) SELECT {_DELIMITED_COLUMNS} FROM cleaned SEMI JOIN lines USING (k)
       WHERE reject_reason IS NULL""",
+    "delimited_runs": f"""{_DELIMITED}, firsts AS (
+        SELECT value AS line, min(k) AS k,
+          min(CASE WHEN k % 10 < 5 THEN 0 WHEN k % 10 < 8 THEN 1 ELSE 2 END) AS run
+        FROM packed GROUP BY value
+      ) SELECT {_DELIMITED_COLUMNS}, reject_reason, cast(run AS BIGINT) AS batch_id,
+        CASE WHEN reject_reason IS NOT NULL THEN line END AS value,
+        CASE WHEN reject_reason IS NULL THEN 'cleaned' ELSE 'rejected' END AS dest
+      FROM cleaned JOIN firsts USING (k)""",
     "id_range_scan": """WITH b AS (
         SELECT min(o_orderkey) AS lo, max(o_orderkey) - min(o_orderkey) + 1 AS width FROM orders
       ), s AS (

@@ -11,7 +11,7 @@ from recordwash.functions import extract, normalize
 from recordwash.operators import dedup, fields, history, offsets, parse, rules, words
 from recordwash.operators.once import evaluated_once
 from recordwash.plans.batch import wash_batch
-from recordwash.plans.delimited import clean_delimited, delimited_job
+from recordwash.plans.delimited import clean_batch, clean_delimited, delimited_job
 from recordwash.plans.staging import Staging
 from recordwash.plans.store import Store
 from recordwash.plans.wash import wash
@@ -23,6 +23,8 @@ from workload.fixtures import FIRST_BATCH_YEAR, as_stream_rows, declared, lines,
 
 KEY = ["caseNumber", "court"]
 STRIDES = 8
+#: Which lines each run reads.
+LINE_RUNS = ["k % 10 < 5", "k % 10 BETWEEN 3 AND 7", "k % 10 < 3 OR k % 10 > 6"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +88,15 @@ def delimited_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned
 
 
+def delimited_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cleaned in three runs whose files overlap, as stored: each line once, by its first."""
+    staging = Staging(spark)
+    root, everything = staging.path("store"), lines(spark, sf_dir)
+    for i, part in enumerate(LINE_RUNS):
+        clean_batch(everything.where(part), root, i)
+    return Store(spark, root).read("lines").drop("run", "line_key")
+
+
 def id_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     lower, upper = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
@@ -357,6 +368,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sparse_field_counts": sparse_field_counts,
     "delimited_parse": delimited_parse,
     "delimited_cleanup": delimited_cleanup,
+    "delimited_runs": delimited_runs,
     "id_range_scan": id_range_scan,
     "casenumber_normalize": casenumber_normalize,
     "casenumber_extract": _text_function("found", extract.case_number_in, "content"),
