@@ -7,6 +7,9 @@ logarithmic time, until no pair can be merged. So a word of a million letters is
 Words repeat, so a task keeps the words it has met lately, up to twice `CACHED_WORDS`. The vocabulary file
 is read once on the driver (1-2 MB) and broadcast.
 
+Texts are split into words by this module's patterns. Python's tables of signs and the library's
+are of different ages, so a text with a sign that Python's don't know is split by the library.
+
 Defined results: null text counts as empty and has no tokens; repeated rows each give a row;
 an empty table gives an empty result; a taken result name gets underscores before it.
 """
@@ -15,10 +18,11 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
 from array import array
 from collections.abc import Callable
-from functools import lru_cache, partial
+from functools import cache, cached_property, lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +30,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from recordwash.llm.common import add_column, add_columns, free_name, keep_for
 
@@ -47,6 +52,20 @@ _LATIN_WORD = re.compile(
 _WORD = regex.compile(rf"\p{{L}}+|{_CONTRACTION}|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 
 
+@cache
+def unknown_signs() -> re.Pattern:
+    """The code points that Python's tables have as unassigned."""
+    ranges, start = [], None
+    for point in range(sys.maxunicode + 2):
+        unknown = point <= sys.maxunicode and unicodedata.category(chr(point)) == "Cn"
+        if unknown and start is None:
+            start = point
+        elif not unknown and start is not None:
+            ranges.append(rf"\U{start:08x}-\U{point - 1:08x}")
+            start = None
+    return re.compile(f"[{''.join(ranges)}]")
+
+
 class PairTree:
     """Ranks by place, the least on top: a node holds rank and place, so the root has both."""
 
@@ -78,6 +97,7 @@ class Vocabulary:
     """A vocabulary file's ids, tokens and merges."""
 
     def __init__(self, text: str):
+        self.content = text
         content = json.loads(text)
         model = content["model"]
         self.ids: dict[str, int] = model["vocab"]
@@ -142,12 +162,25 @@ class Vocabulary:
         if text.isascii():
             found = _ASCII_WORD.findall(text.lower())
         else:
+            if not is_latin(text) and unknown_signs().search(text):
+                return self._split_by_library(text)
             text = unicodedata.normalize("NFC", text)
             # Letter by letter, so without the rule for a final sigma.
             text = text.replace("Σ", "σ").lower()
             found = (_LATIN_WORD if is_latin(text) else _WORD).findall(text)
         return b"".join(map(self.words.__getitem__, found))
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_str(self.content)
+
+    def _split_by_library(self, text: str) -> bytes:
+        byte_of = {letter: byte for byte, letter in enumerate(byte_letters())}
+        text = self.library.normalizer.normalize_str(text)
+        found = self.library.pre_tokenizer.pre_tokenize_str(text)
+        words = (bytes(map(byte_of.__getitem__, word)).decode() for word, _ in found)
+        return b"".join(map(self.words.__getitem__, words))
+
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by a space: the file names no decoder, so word ends stay visible."""
         return " ".join(map(self.tokens.__getitem__, ids))

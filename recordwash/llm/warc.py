@@ -4,7 +4,8 @@ Writing: pages of equal payload are found by digest; the one with the smallest i
 in full, the others as revisits. Spark's text writer writes the records, with the blank lines
 that end a record as its line end, from the tasks that read the pages.
 
-Reading: Spark splits the archives, also within a file, wherever the magic `WARC/1.` stands.
+Reading: Spark splits the archives, also within a file, wherever the magic `WARC/1.` stands. The
+pieces are stored once: where Spark splits a file differs from job to job, and with it their numbers.
 Each piece may be a record or part of a payload that holds the magic. Tasks emit candidates:
 a piece's place and the offset at which its successor must begin, by its own header. Pointer
 jumping from the start of each file keeps the candidates that are reached; the others belong
@@ -121,30 +122,29 @@ def _field(head: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(head, rf"(?im)^{name}:[ \t]*(.*?)[ \t]*$", 1), F.lit(""))
 
 
+def _record_size(head: Column) -> Column:
+    """The size that a piece's record must have, if it has a header."""
+    size = F.octet_length("value").cast("long")
+    head_size = F.octet_length(head).cast("long")
+    body = _field(head, "Content-Length").try_cast("long")
+    return F.when(
+        head_size + len(END) <= size, len(MAGIC) + head_size + len(END) + body + len(END)
+    )
+
+
 def pieces(spark: SparkSession, out: str) -> DataFrame:
-    """What stands between occurrences of the magic; `head` up to the first blank line."""
+    """What stands between occurrences of the magic, its size and its record's, if it has a header."""
     text = spark.read.option("lineSep", MAGIC).option("pathGlobFilter", "part-*").text(out)
-    head = F.substring_index("value", END, 1)
     return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("piece"),
         "value",
-        head.alias("head"),
+        (F.octet_length("value").cast("long") + len(MAGIC)).alias("size"),
+        _record_size(F.substring_index("value", END, 1)).alias("record_size"),
     )
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """A piece's size and, if it has a header, the size its record must have."""
-    size = F.octet_length("value").cast("long") + len(MAGIC)
-    head_size = F.octet_length("head").cast("long")
-    body = _field(F.col("head"), "Content-Length").try_cast("long")
-    record_size = F.when(
-        head_size + len(MAGIC) + len(END) <= size, len(MAGIC) + head_size + len(END) + body + len(END)
-    )
-    return found.select(*PLACE, size.alias("size"), record_size.alias("record_size"))
-
-
 def reachable(start: np.ndarray, successor: np.ndarray, end: int) -> np.ndarray:
     """Which candidates a chain of successors from offset 0 reaches, by pointer jumping.
 
@@ -185,11 +185,13 @@ def owners(file: pd.DataFrame) -> pd.DataFrame:
 
 def read_archives(spark: SparkSession, out: str) -> DataFrame:
     """Every reachable record: its fields, payload, and whether the payload fits its digest."""
-    found = pieces(spark, out)
-    chain = candidates(found).groupBy("file").applyInPandas(
+    staging = scratch(spark)
+    pieces(spark, out).write.option("compression", "zstd").parquet(staging.path("pieces"))
+    found = spark.read.parquet(staging.path("pieces"))
+    chain = found.select(*PLACE, "size", "record_size").groupBy("file").applyInPandas(
         owners, "file string, block long, piece long, record long, alone boolean"
     )
-    others = scratch(spark).store(chain.where("not alone"), "joined_pieces")
+    others = staging.store(chain.where("not alone"), "joined_pieces")
     alone = found.join(others, PLACE, "left_anti").select("file", "value")
     parts = F.array_sort(F.collect_list(F.struct("block", "piece", "value")))
     joined = (

@@ -48,6 +48,16 @@ def test_every_code_point(library, own):
         assert same(library, own, text), hex(points[at])
 
 
+def test_unassigned_code_points_too(library, own):
+    points = [c for c in range(0x110000) if category(chr(c)) != "Cs"]
+    for at in range(0, len(points), 512):
+        text = " ".join(f"a{chr(c)}1" for c in points[at : at + 512])
+        assert same(library, own, text), hex(points[at])
+    for c in (0x558, 0x88F, 0x1C89, 0x1ACF, 0x10D40, 0xE01F5):
+        for text in (f"A{chr(c)}\u0301B", f"<|endoftext|>{chr(c)} Σ{chr(c)}", f"{chr(c)}{chr(c)}'s 12"):
+            assert same(library, own, text), hex(c)
+
+
 def test_long_words(library, own):
     for text in ("x" * 30_000, "ab" * 20_000, cases.sentence(4, 4000).replace(" ", "")):
         assert same(library, own, text)

@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -99,3 +100,47 @@ def test_nulls_extra_columns_and_empty_table(spark):
     assert found.columns == ["page_id", "url", "html", "text", "_text"]
     assert {(r["text"], r["_text"]) for r in found.collect()} == {(7, ""), (8, "a")}
     assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+WANT = " ".join((LONG * 3).split()) + "\n\nShort."
+POST = f"<p>{LONG * 3}</p><p>Short.</p>"
+OTHER = f"<p>{LONG * 2}</p><p>{LONG * 4}</p>"
+MENU = "<ul class=menu><li>a<li>b<li>c</ul>"
+
+
+def test_comments_notices_and_adverts_go_however_dense():
+    comment = f"<article class='comment-body'>{OTHER}</article>"
+    for page in (
+        f"<article>{POST}<section class='comments'>{OTHER}{OTHER}</section></article>",
+        f"<div class='post'>{POST}</div><div class='comments'>{OTHER}{OTHER}</div>",
+        f"<article>{POST}<div class='ad'>{OTHER}</div></article>",
+        f"<article>{POST}<div class='newsletter'>{OTHER}</div></article>",
+        f"<div id='cookie-notice'>{OTHER}</div><div class='post'>{POST}</div>",
+        f"<div class='post'>{POST}</div><div id='comments'>{comment}{comment}</div>",
+        f"<main>{POST}</main><div id='comments'>{comment}{comment}</div>",
+        f"<div class='post'>{POST}</div><div id='comments'><article>{OTHER}</article></div>",
+        f"<article>{POST}<section id='comments'><h2>3 comments</h2>{OTHER}</section></article>",
+        f"<div class='post'>{POST}</div><div class='sidebar'>{OTHER}</div>",
+        f"<div class='post'>{POST}</div><div class='sponsored box'>{OTHER}</div><div class='ad-slot'>{OTHER}</div>",
+        f"<div>{POST}</div><div class='comments'>" + f"<p>{LONG}</p>" * 50 + "</div>",
+    ):
+        assert main_text(page + MENU) == WANT, page[:90]
+
+
+def test_names_of_layout_and_headings_stay():
+    inner = f"<h2>More</h2>{POST}"
+    for name in ("related-work", "cookies", "notice", "content-sidebar-wrap"):
+        page = f"<article><h1>Head</h1>{POST}<section id='{name}'>{inner}</section>{MENU}</article>"
+        assert main_text(page) == f"Head\n\n{WANT}\n\nMore\n\n{WANT}"
+    page = f"<article><h1>Head</h1>{POST}<section id='cookies'>{POST}</section></article>"
+    assert main_text(page) == f"Head\n\n{WANT}"
+    page = f"<div class='content-sidebar-wrap'>{MENU}<div class='comments-wrap-main'>{POST}</div></div>"
+    assert main_text(page) == WANT
+    assert main_text(f"<div id='comments'>{POST}</div>") == WANT
+
+
+def test_time_is_linear_in_broken_markup():
+    start = time.perf_counter()
+    assert main_text("<div>" * 100_000 + "deep" + "</p>" * 100_000 + "</section>" * 100_000) == "deep"
+    assert main_text("<div>" * 5_000 + f"<article><p>{LONG}</article>" * 5_000).count("Plain") == 5_000
+    assert time.perf_counter() - start < 10

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from recordwash.llm import warc
+from recordwash.plans import staging
 
 FAKE = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
 SCHEMA = "page_id long, url string, html string, payload string, value string, block int"
@@ -55,6 +56,27 @@ def test_round_trip_with_magic_in_payloads(spark, tmp_path, tiny_splits):
             assert (row["record_type"], row["refers_to"]) == ("revisit", str(origin))
 
 
+def test_splits_may_change_between_jobs(spark, tmp_path, tiny_splits, monkeypatch):
+    """Places are fixed by one reading, however Spark splits files in the next."""
+    rows, out = pages(), str(tmp_path / "out")
+    docs = spark.createDataFrame([(*r, "p", "v", 1) for r in rows], SCHEMA).repartition(2)
+    warc.write_archives(docs, out)
+    number, store = iter([2, 7, 3, 11]), staging.Staging.store
+
+    def split_anew(*args):
+        spark.conf.set("spark.sql.files.minPartitionNum", next(number))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+        return store(*args)
+
+    monkeypatch.setattr(staging.Staging, "store", split_anew)
+    try:
+        spark.conf.set("spark.sql.files.minPartitionNum", 5)
+        found = warc.read_archives(spark, out).select("page_id", "digest_fits").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(found) == len(rows) and all(r["digest_fits"] for r in found)
+
+
 def test_pointer_jumping():
     start = np.array([0, 5, 10, 14, 20])
     #: 0 → 10 → 20 → end 30; 5 leads to 20 too, but nothing leads to 5; 14 leads nowhere.
