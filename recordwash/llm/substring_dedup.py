@@ -10,7 +10,8 @@ For every window the symbols that cannot depend on its outside are found by that
 first of them at the highest level is its anchor (of a window without any, its own digest).
 Equal windows have equal anchors, so a window may repeat only if its anchor is shared by two
 documents. Anchors are exchanged to find the shared ones, and then only windows with a shared
-anchor, as 96-bit digests, each with the smallest document that holds it.
+anchor, each with the smallest document that holds it. Names only choose these candidates: whether
+two are the same is verified by BLAKE2b digests of their own words.
 
 Texts are dealt into blocks of about `BLOCK_BYTES` once; the shuffle is used for all three
 passes over them. A block sends each name once, however many of its documents hold it, so a
@@ -25,12 +26,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from hashlib import blake2b
 from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from recordwash.llm.common import text_of, total_bytes
 
@@ -40,8 +43,12 @@ PAIR_ROUNDS = 4
 BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 32 << 20
 #: Bytes whose words are named at a time, and words whose windows get their anchors at a time.
 CHUNK_BYTES, CACHED_WORDS = 1 << 18, 1 << 15
+#: Bytes of a word up to which its name is a sum.
+LONGEST_SUMMED = 64
 NO_ID = np.iinfo(np.int64).max
 
+#: A window's digest as sent.
+KEY = np.dtype([("high", "<u8"), ("low", "<u4")])
 _U = np.uint64
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 
@@ -61,33 +68,36 @@ def named(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _constants() -> tuple[np.ndarray, int, int]:
-    """A number for each byte, and an odd factor with its inverse modulo 2^64."""
-    random = np.random.default_rng(5)
-    numbers = random.integers(0, 1 << 63, 256, dtype=_U) * _U(2) + _U(1)
-    factor = int(random.integers(1 << 60, 1 << 61)) * 2 + 1
-    return numbers, factor, pow(factor, -1, 1 << 64)
+def _numbers() -> np.ndarray:
+    """A random number for each byte at each of the first places of a word."""
+    return np.random.default_rng(5).integers(0, 1 << 64, (LONGEST_SUMMED, 256), dtype=_U).ravel()
 
 
 def word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Names of all words of the texts, in order, and each text's number of words.
 
-    Names are taken from prefix sums over the bytes, for all words of a chunk at once.
+    A name is the sum of random numbers, one for each byte and its place, taken from prefix sums
+    for all words of a chunk at once. (Powers of one factor in their stead would give words of
+    some patterns the same name, whatever the factor.) Long words are hashed one by one.
     """
-    numbers, factor, inverse = _constants()
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     space = _SPACE[data]
     before = np.append(True, space[:-1])
     starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
     if not len(starts):
         return np.zeros(0, _U), np.zeros(len(texts), np.int64)
-    powers = np.cumprod(np.full(len(data), factor, _U))
-    sums = np.append(_U(0), np.cumsum(numbers[data] * powers))
-    back = np.cumprod(np.full(len(data), inverse, _U))
-    values = (sums[ends] - sums[starts]) * back[starts]
+    sizes = ends - starts
+    inside = np.flatnonzero(~space)
+    # Where each word's letters begin among all letters.
+    letters = np.cumsum(sizes) - sizes
+    place = np.minimum(np.arange(len(inside)) - np.repeat(letters, sizes), LONGEST_SUMMED - 1)
+    sums = np.append(_U(0), np.cumsum(_numbers()[place << 8 | data[inside]]))
+    values = sums[letters + sizes] - sums[letters]
+    for i in np.flatnonzero(sizes > LONGEST_SUMMED).tolist():
+        values[i] = xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
     counts = np.diff(np.searchsorted(starts, edges))
-    return mix(values + (ends - starts).astype(_U) * _U(0x9E3779B97F4A7C15)), counts
+    return mix(values + sizes.astype(_U) * _U(0x9E3779B97F4A7C15)), counts
 
 
 def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -125,6 +135,18 @@ class Block:
             total += self.names[windows + i] * factors[i]
         return mix(total)
 
+    def exact_digests(self, windows: np.ndarray) -> np.ndarray:
+        """A 96-bit BLAKE2b digest of each window's own words; windows ascend."""
+        found, doc_of = [], self.doc[windows]
+        edges = np.searchsorted(doc_of, np.arange(len(self.texts) + 1)).tolist()
+        starts = self.starts.tolist()
+        for doc in np.unique(doc_of).tolist():
+            words = self.texts[doc].split()
+            for at in (windows[edges[doc] : edges[doc + 1]] - starts[doc]).tolist():
+                window = b" ".join(words[at : at + WINDOW])
+                found.append(blake2b(window, digest_size=12).digest())
+        return np.frombuffer(b"".join(found), KEY)
+
     def anchors(self) -> np.ndarray:
         """Each window's anchor, a few documents at a time, so that the arrays stay in cache."""
         ends = self.starts + self.sizes
@@ -224,21 +246,22 @@ class Candidates:
 
     def __init__(self, block: Block, shared: np.ndarray, n_buckets: int):
         self.windows = block.windows[shared]
-        high, low = block.digests(self.windows, 2), block.digests(self.windows, 3) >> _U(32)
+        exact = block.exact_digests(self.windows)
+        high, low = exact["high"], exact["low"]
         order = np.lexsort((low, high))
         high, low = high[order], low[order]
         new = np.ones(len(order), bool)
         new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
         self.number = np.empty(len(order), np.int64)
         self.number[order] = np.cumsum(new) - 1
-        self.high, self.low = high[new], low[new].astype("<u4")
+        self.high, self.low = high[new].astype(_U), low[new]
         self.ids = block.ids[block.doc[self.windows]]
         self.first = np.full(len(self.high), NO_ID)
         np.minimum.at(self.first, self.number, self.ids)
         self.edges = _bucket_edges(self.high, n_buckets)
 
     def sent(self) -> Iterator[tuple[int, bytes, bytes]]:
-        key = np.empty(len(self.high), [("high", "<u8"), ("low", "<u4")])
+        key = np.empty(len(self.high), KEY)
         key["high"], key["low"] = self.high, self.low
         for bucket, (a, b) in enumerate(zip(self.edges, self.edges[1:])):
             if a < b:
@@ -337,8 +360,7 @@ def _first_windows(n_buckets: int, key: tuple, rows: pa.Table) -> pa.Table:
     """For each block, its windows of a bucket that begin in a smaller document elsewhere."""
     if key[0].as_py() >= n_buckets:
         return _answer_rows(3, 0, rows.column("block"), rows.column("keys"), rows.column("about"))
-    kind = np.dtype([("high", "<u8"), ("low", "<u4")])
-    sent = [np.frombuffer(x.as_buffer(), kind) for x in rows.column("keys")]
+    sent = [np.frombuffer(x.as_buffer(), KEY) for x in rows.column("keys")]
     sizes = [len(x) for x in sent]
     keys = np.concatenate(sent)
     ids = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in rows.column("about")])

@@ -75,7 +75,7 @@ def test_equal_windows_have_equal_anchors():
             for _ in range(4)
         ]
         block = Block(list(range(4)), texts)
-        anchors, digests = block.anchors(), block.digests(block.windows, 2)
+        anchors, digests = block.anchors(), block.exact_digests(block.windows)
         for digest in np.unique(digests):
             assert len(set(anchors[digests == digest])) == 1
 
@@ -93,3 +93,36 @@ def test_passes_may_get_rows_in_any_order():
     first, second = (substring_dedup._block(t) for t in tables)
     assert first.given_ids == second.given_ids
     assert (first.anchors() == second.anchors()).all()
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_of_any_pattern_have_names_of_their_own(spark):
+    """Words that sums of powers of one factor, modulo 2^64, cannot tell apart."""
+    for n in (16, 32, 64, 512, 2048):
+        word = thue_morse(n)
+        other = word.translate(str.maketrans("ab", "ba"))
+        names, _ = substring_dedup.word_names([word.encode(), other.encode()])
+        assert names[0] != names[1]
+        same = "one two three four five six seven eight nine ten eleven twelve"
+        rows = [(1, f"{same} {word}"), (2, f"{same} {other}"), (3, f"{other} {same}")]
+        assert in_order(found(spark, rows)) == in_order(expected(rows))
+
+
+def test_equal_names_alone_remove_nothing(spark, monkeypatch):
+    """Were all words' names equal, the windows' own words would still decide."""
+    rows = [(i, cases.sentence(i % 3, 20)) for i in range(6)] + [(9, cases.sentence(1, 20) + " x")]
+    block = Block([r[0] for r in rows], [r[1] for r in rows])
+    block.names[:] = 7
+    candidates = substring_dedup.Candidates(block, np.ones(len(block.windows), bool), 1)
+    gone = {int(block.doc[w]) for w in candidates.repeated({}).tolist()}
+    assert gone == {3, 4, 5, 6}
+
+
+def test_long_and_short_words(spark):
+    draw = random.Random(3)
+    words = ["x" * n for n in (1, 63, 64, 65, 200)] + ["y" * 64 + "z", "é" * 40]
+    rows = [(i, " ".join(draw.choices(words, k=30))) for i in range(40)]
+    assert in_order(found(spark, rows, block_bytes=9000)) == in_order(expected(rows))
