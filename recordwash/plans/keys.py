@@ -38,7 +38,8 @@ def prefix(key: str) -> Column:
 
 def write_keys(keys: DataFrame, path: str, bits: int) -> None:
     bucket = F.shiftright(prefix("key"), MOST_BITS - bits).alias("bucket")
-    rows = keys.select(*KEY_SCHEMA.names, bucket).repartition("bucket")
+    rows = keys.select(*KEY_SCHEMA.names, bucket if bits else F.lit(0).alias("bucket"))
+    rows = rows.repartition("bucket") if bits else rows.coalesce(1)
     (
         rows.sortWithinPartitions("bucket", "key")
         .write.partitionBy("bucket")

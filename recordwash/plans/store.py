@@ -118,11 +118,10 @@ class Store:
         """
         name = keys.columns[0]
         keys = keys.select(F.col(name).alias("key")).where(F.col("key").isNotNull())
-        prefixes = buckets_of(keys)
-        found = []
-        for e in self.manifests.last()[1]:
-            if e.table == KEYED[table][2]:
-                found += _buckets(e, touched(prefixes, e.bits))
+        entries = [e for e in self.manifests.last()[1] if e.table == KEYED[table][2]]
+        # Where no folder has more than one bucket, all are touched.
+        prefixes = buckets_of(keys) if any(e.bits for e in entries) else [0]
+        found = [part for e in entries for part in _buckets(e, touched(prefixes, e.bits))]
         own = (F.col("run") == run) & (F.col("batch_id") >= batch_id)
         rows = self._rows(found, KEYED[table][2]).where(~own)
         return only(rows, keys).select(F.col("key").alias(name))
@@ -252,15 +251,15 @@ class Batch:
             F.lit(group_id).alias("group_id"), "topic", "part", "from_offset", "until_offset",
             F.current_timestamp().alias("committed_at"),
         )
-        self.add("progress", logged)
+        self.add("progress", logged.coalesce(1))
         number, entries = store.manifests.last()
         mine = [e for e in entries if e.table == "offsets" and e.part == group_id]
-        incoming = logged.select(
+        incoming = store._rows(self.entries[-1:], "progress").select(
             "group_id", "topic", "part", "until_offset", F.lit(number + 1).cast("long").alias("version")
         )
         folder = _new_folder("offsets")
-        merged = upsert(store._rows(mine, "offsets"), incoming, "version")
-        merged.coalesce(1).write.parquet(f"{store.root}/{folder}")
+        merged = upsert(store._rows(mine, "offsets"), incoming, "version").coalesce(1)
+        merged.write.parquet(f"{store.root}/{folder}")
         self.entries.append(self._entry("offsets", folder, part=group_id))
 
     def publish(self) -> None:

@@ -172,7 +172,9 @@ def duplicate_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.survivors(_clean(spark, sf_dir).drop("check_notes"), KEY, [], ["k"])
+    # Used twice below, so stored: the second use reads the key columns only.
+    rows = Staging(spark).store(_clean(spark, sf_dir).drop("check_notes"), "clean")
+    return dedup.survivors(rows, KEY, [], ["k"])
 
 
 def batch_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
