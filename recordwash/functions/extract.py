@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,16 +90,35 @@ def judgement_date_in(text: Column) -> Column:
     return let(_without_blanks(written), _date_from)
 
 
-def _any_of(words: list[str]) -> str:
-    # Longest first, so that a word is never cut short by one it starts with.
-    return "|".join(sorted(dict.fromkeys(words), key=lambda w: (-len(w), w)))
+def any_of(words: list[str]) -> str:
+    """A pattern for the longest of the words that stands at a place.
+
+    Words share their beginnings, as in a trie: at each letter one branch at most goes on, so a
+    place is settled in as many steps as the longest word has letters, however many words there are.
+    """
+    trie: dict[str, dict] = {}
+    for word in words:
+        node = trie
+        for letter in word:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def pattern(node: dict[str, dict]) -> str:
+        branches = [re.escape(c) + pattern(rest) for c, rest in sorted(node.items()) if c]
+        if not branches:
+            return ""
+        if "" in node:  # a word ends here; a longer one comes first
+            return f"(?:{'|'.join(branches)})?"
+        return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+    return pattern(trie)
 
 
 # Possessive, so that the regex engine takes a long run of keywords step by step; otherwise it
 # goes one call deeper per keyword and an endless run overflows its stack. No keyword begins
 # with 纠 and .? takes what is left, so nothing is lost by never giving a keyword back.
-REASON_PATTERN = f"(?:{_any_of(REASON_KEYWORDS)})*+.?纠纷"
-TITLE_PATTERN = f"{_any_of(TITLE_KEYWORDS)}|{EXPLOSIVES}"
+REASON_PATTERN = f"(?:{any_of(REASON_KEYWORDS)})*+.?纠纷"
+TITLE_PATTERN = f"{any_of(TITLE_KEYWORDS)}|{EXPLOSIVES}"
 
 
 def _all(c: Column, pattern: str) -> Column:

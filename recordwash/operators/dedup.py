@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordwash.functions.normalize import key_digest
+from recordwash.plans.staging import Staging
+
 
 def _ordering(order: list[str]) -> Column:
     # Nulls last: a record that lacks the ordering value never displaces one that has it.
@@ -87,3 +90,48 @@ def group_members(
         *row_id, F.col("copies").isNotNull().alias("is_first")
     )
     return _with_ids(df, members, row_id, "inner").select(*df.columns, "is_first")
+
+
+def numbered_members(
+    df: DataFrame, keys: list[str], order: list[str], row_id: list[str], staging: Staging
+) -> DataFrame:
+    """All rows of the groups with more than one row, with `number`, from 1 on, and `copies`.
+
+    Numbers follow the order, then the row id. No group is brought together: narrow rows are
+    sorted into ranges by key and order, so a hot key fills many ranges. A row's number is its
+    place in its range, less that of its key's first row there, and the rows of the key in the
+    ranges before. Only a range's first and last key can be in other ranges, so these counts, two
+    a range at most, are added up on the driver.
+    """
+    narrow = _narrow(df, keys, order, row_id).withColumn("key", key_digest([F.col(k) for k in keys]))
+    ranks = [F.struct(F.col(c).isNull(), F.col(c)) for c in order]
+    by = [F.col("key"), *ranks, *[F.col(c) for c in row_id]]
+    ranged = narrow.repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = staging.store(
+        ranged.select(*row_id, "key", F.monotonically_increasing_id().alias("at")), "placed"
+    ).withColumn("part", F.shiftright("at", 33))
+    here = staging.store(
+        placed.groupBy("key", "part").agg(F.min("at").alias("first"), F.count("*").alias("n")),
+        "here",
+    )
+    split = here.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("copies"))
+    across, before = [], {}
+    spread = here.join(split.where("parts > 1"), "key")
+    for r in sorted(spread.collect(), key=lambda r: (r["key"], r["part"])):
+        key = bytes(r["key"])
+        across.append((key, r["part"], before.get(key, 0), r["copies"]))
+        before[key] = before.get(key, 0) + r["n"]
+    known = df.sparkSession.createDataFrame(
+        across, "key binary, part long, earlier long, copies long"
+    )
+    sized = here.join(F.broadcast(known), ["key", "part"], "left").select(
+        "key", "part", "first",
+        F.coalesce("earlier", F.lit(0)).alias("earlier"),
+        F.coalesce("copies", "n").alias("copies"),
+    ).where("copies > 1")
+    members = placed.join(sized, ["key", "part"]).select(
+        *row_id,
+        (F.col("at") - F.col("first") + F.col("earlier") + 1).alias("number"),
+        "copies",
+    )
+    return _with_ids(df, members, row_id, "inner").select(*df.columns, "number", "copies")

@@ -26,6 +26,10 @@ class Files:
             return []
         return sorted(status.getPath().getName() for status in files.listStatus(path))
 
+    def exists(self, name: str) -> bool:
+        files, path = self._path(name)
+        return files.exists(path)
+
     def read(self, name: str) -> str:
         files, path = self._path(name)
         stream = files.open(path)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordwash.functions.normalize import declared_date, key_digest, row_key
+from recordwash.operators.courts import with_canonical
 from recordwash.operators.dedup import first_of_group
 from recordwash.operators.history import BROADCAST_ROWS, hits
 from recordwash.operators.parse import parse_records
@@ -38,7 +39,7 @@ class Washed:
         return self.records.where(F.col("dest") == dest)
 
 
-def match_key() -> Column:
+def match_key(court: str = "court") -> Column:
     """What makes two records the same case.
 
     Route 1: number and court. Route 2 has no number: court, title and date. Route 3 is
@@ -47,23 +48,30 @@ def match_key() -> Column:
     """
     written = F.col("judgementDate")
     date = F.coalesce(declared_date(written).cast("string"), written)
-    numbered = [F.lit("1"), F.col("caseNumber"), F.col("court")]
-    unnumbered = [F.lit("2"), F.col("court"), F.col("title"), date]
+    numbered = [F.lit("1"), F.col("caseNumber"), F.col(court)]
+    unnumbered = [F.lit("2"), F.col(court), F.col("title"), date]
     return F.when(F.col("route") == 1, key_digest(numbered)).when(
         F.col("route") == 2, key_digest(unnumbered)
     )
 
 
 def routed(
-    messages: DataFrame, *, fill_reason: bool = True, court_match: str = "exact"
-) -> DataFrame:
+    messages: DataFrame, *, fill_reason: bool = True, court_match: str = "exact",
+    courts: DataFrame | None = None,
+) -> DataFrame:
     """One row per message: record, route, keys; or the text and why it was rejected.
 
+    With `courts` (see `operators.courts`) records of one court are compared by its one name,
+    however it is written.
+
     `row_id` is fixed once the rows are stored. Positions come from outside and may be null or
     collide, so rows are told apart by `row_id` alone.
     """
     records = parse_records(messages, ["value", *POSITION], fill_reason=fill_reason)
-    judged = judge(records, court_match)
+    judged, court = judge(records, court_match), "court"
+    if courts is not None:
+        court = "canonical_court"
+        judged = with_canonical(judged, courts, court)
     rejected = F.col("reject_reason").isNotNull()
     return judged.select(
         F.monotonically_increasing_id().alias("row_id"),
@@ -71,7 +79,7 @@ def routed(
         *RECORD_FIELDS,
         "route",
         "check_notes",
-        match_key().alias("match_key"),
+        match_key(court).alias("match_key"),
         *POSITION,
         key_digest([F.col("value")]).alias("message_key"),
         "reject_reason",
@@ -127,6 +135,7 @@ def wash(
     order: tuple[str, ...] = ("crawlDate",),
     fill_reason: bool = True,
     court_match: str = "exact",
+    courts: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> Washed:
     """Send each message to main, duplicates or review.
@@ -138,7 +147,8 @@ def wash(
     dropped. `staging` must live until the results are written.
     """
     everything = staging.store(
-        routed(messages, fill_reason=fill_reason, court_match=court_match), "routed"
+        routed(messages, fill_reason=fill_reason, court_match=court_match, courts=courts),
+        "routed",
     )
     rows = everything.where(F.col("reject_reason").isNull())
     setbacks = staging.store(

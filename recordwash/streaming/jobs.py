@@ -6,32 +6,44 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from recordwash.operators.offsets import as_starting_offsets, offset_ranges, start_map
 from recordwash.operators.words import word_count
 from recordwash.plans.batch import known_records
+from recordwash.plans.files import Files
 from recordwash.plans.staging import Staging
 from recordwash.plans.store import Store, run_id
 from recordwash.plans.wash import wash
 from recordwash.schema import POSITION
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
+#: File in the checkpoint that asks a job to stop.
+STOP_MARKER = "stop"
 UNTIL_CAUGHT_UP = {"availableNow": True}
 
 BatchStep = Callable[[DataFrame, str, int], None]
 
 
+class StopRequested(Exception):
+    """A job was asked to stop, and has not begun the batch."""
+
+
 def _start(
     source: DataFrame, checkpoint: str, trigger: dict, step: BatchStep
 ) -> StreamingQuery:
-    """Run `step(batch, run, batch_id)` on each non-empty micro-batch."""
+    """Run `step(batch, run, batch_id)` on each non-empty micro-batch.
+
+    While there is a stop marker in the checkpoint, no batch is begun.
+    """
 
     runs: list[str] = []
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if Files(batch.sparkSession).exists(f"{checkpoint}/{STOP_MARKER}"):
+            raise StopRequested  # the batch is not committed, so the next start runs it
         if batch.isEmpty():
             return
         if not runs:
@@ -46,6 +58,34 @@ def _start(
     )
 
 
+def request_stop(spark: SparkSession, checkpoint: str) -> None:
+    """Ask the job with this checkpoint to stop, from anywhere."""
+    Files(spark).create(f"{checkpoint}/{STOP_MARKER}", "stop")
+
+
+def run_until_stopped(query: StreamingQuery, checkpoint: str, poll_seconds: float = 1.0) -> None:
+    """Wait for the job until it ends or is asked to stop; a batch that has begun is finished.
+
+    The marker is removed, and the job can be started again. Other failures are raised.
+    """
+    files = Files(SparkSession.active())
+    marker = f"{checkpoint}/{STOP_MARKER}"
+    try:
+        while query.isActive and not files.exists(marker):
+            query.awaitTermination(poll_seconds)
+        while query.isActive and query.status["isTriggerActive"]:
+            query.awaitTermination(poll_seconds)
+        if query.isActive:  # between two batches
+            query.stop()
+        if query.exception() is not None:
+            query.awaitTermination()
+    except StreamingQueryException as e:
+        if StopRequested.__name__ not in str(e):
+            raise
+    finally:
+        files.delete(marker)
+
+
 @contextmanager
 def _kept(batch: DataFrame) -> Iterator[None]:
     """Read the source once for several uses; lost blocks are read again."""

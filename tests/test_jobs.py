@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from recordwash.operators import offsets
 from recordwash.plans.batch import wash_batch
@@ -15,7 +16,8 @@ from recordwash.schema import MESSAGE_SCHEMA, RECORD_FIELDS
 from recordwash.sources import messages as sources
 from recordwash.sources import ranges
 from recordwash.streaming.jobs import (
-    UNTIL_CAUGHT_UP, saved_starts, start_echo, start_wash, start_word_count,
+    UNTIL_CAUGHT_UP, request_stop, run_until_stopped, saved_starts, start_echo, start_wash,
+    start_word_count,
 )
 
 TEXT = "{court} 民事 {number} 二〇一七年十二月七日"
@@ -338,3 +340,47 @@ def test_wash_against_brute_force_with_a_hot_case(spark, broadcast_rows):
     )
     assert fates(second.records) == expected
     assert second.records.count() == len(distinct(new))
+
+
+def test_stop_between_batches_and_resume(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "store", "checkpoint"))
+    for i in range(8):
+        feed(spark, source, i, [message(f"（2017）渝1民初{i}号")], i)
+
+    def run(during=lambda query: None):
+        stream = sources.file_stream(spark, source, max_files_per_trigger=1)
+        query = start_wash(stream, root, checkpoint, trigger={"processingTime": "0 seconds"})
+        during(query)
+        run_until_stopped(query, checkpoint, poll_seconds=0.1)
+        assert not query.isActive
+        return fates(Store(spark, root).read("records"))
+
+    def stop_after_one(query):
+        while not query.lastProgress or not Store(spark, root).read("records").count():
+            query.awaitTermination(0.2)
+        request_stop(spark, checkpoint)
+
+    first = run(stop_after_one)
+    assert 1 <= len(first) < 8
+
+    def stop_when_idle(query):
+        while Store(spark, root).read("records").count() < 8:
+            query.awaitTermination(0.2)
+        while query.status["isTriggerActive"]:
+            query.awaitTermination(0.1)
+        request_stop(spark, checkpoint)
+
+    every = run(stop_when_idle)
+    assert sorted(every) == list(range(8)) and all(every[k] == v for k, v in first.items())
+    assert Store(spark, root).read("records").count() == 8
+    assert saved_starts(Store(spark, root), "wash") == {"cases": {0: 8}}
+
+
+def test_other_failures_are_raised(spark, tmp_path):
+    feed(spark, str(tmp_path / "in"), 0, MESSAGES[:1], 0)
+    query = start_wash(
+        sources.file_stream(spark, str(tmp_path / "in")), str(tmp_path / "s"), str(tmp_path / "c"),
+        trigger=UNTIL_CAUGHT_UP, court_match="no such match",
+    )
+    with pytest.raises(StreamingQueryException, match="no such match"):
+        run_until_stopped(query, str(tmp_path / "c"), poll_seconds=0.1)

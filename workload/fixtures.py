@@ -64,6 +64,21 @@ packed AS (
   FROM orders)
 """
 
+# Courts with and without their province and city; one short name is that of two courts.
+COURTS_CTE = r"""
+spelled AS (
+  SELECT o_orderkey AS k, '(2017)渝' || cast(o_custkey % 37 AS string) || '民初' || cast(o_orderkey % 300 AS string) || '号' AS number,
+    CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE
+      CASE WHEN o_orderkey % 3 = 0 THEN CASE o_custkey % 6 WHEN 0 THEN '重庆市' WHEN 1 THEN '四川省'
+          WHEN 2 THEN '吉林省四平市' WHEN 3 THEN '河北省张家口市' WHEN 4 THEN '河北省邢台市' ELSE '' END
+        WHEN o_orderkey % 3 = 1 THEN CASE o_custkey % 6 WHEN 2 THEN '四平市' WHEN 3 THEN '张家口市'
+          WHEN 4 THEN '邢台市' ELSE '' END
+        ELSE '' END
+      || CASE o_custkey % 6 WHEN 0 THEN '渝中区' WHEN 1 THEN '成都市锦江区' WHEN 2 THEN '铁西区'
+        WHEN 3 THEN '桥东区' WHEN 4 THEN '桥东区' ELSE '望江县' END || '人民法院' END AS court
+  FROM orders)
+"""
+
 # History is what came before this year.
 FIRST_BATCH_YEAR = 1997
 
@@ -108,6 +123,12 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derived(spark, sf_dir, query, "lines")
 
 
+def spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, number, court): cases under several spellings of their court."""
+    query = f"WITH {COURTS_CTE} SELECT k, number, court FROM spelled"
+    return _derived(spark, sf_dir, query, "spelled")
+
+
 def as_stream_rows(messages: DataFrame) -> DataFrame:
     """The source contract: value, topic, partition, offset, timestamp."""
     return messages.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from recordwash.functions.reasons import REASON_KEYWORDS, TITLE_KEYWORDS
 from recordwash.schema import MATCH_FAMILY, OTHER_FAMILY, RECORD_FIELDS
-from workload.fixtures import FIRST_BATCH_YEAR, LINES_CTE, MESSAGES_CTE
+from workload.fixtures import COURTS_CTE, FIRST_BATCH_YEAR, LINES_CTE, MESSAGES_CTE
 
 
 def _clean(x: str) -> str:
@@ -270,6 +270,12 @@ ORACLE_SQL: dict[str, str] = {
           lo + ((i + 1) * width) // 8 - 1 AS z FROM b, range(8) t(i)
       ) SELECT stride, count(*) AS n, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id
       FROM orders JOIN s ON o_orderkey BETWEEN a AND z GROUP BY stride""",
+    "id_quantile_scan": """WITH ids AS (
+        SELECT cast(o_orderkey AS BIGINT) * o_orderkey AS id FROM orders
+      ), q AS (
+        SELECT quantile_disc(id, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]) AS ends FROM ids
+      ) SELECT cast(len(list_filter(ends, lambda e: e < id)) AS INTEGER) AS stride, count(*) AS n,
+        min(id) AS first_id, max(id) AS last_id FROM ids, q GROUP BY stride""",
     "casenumber_normalize": f"""WITH {MESSAGES_CTE}
       SELECT k, rawno, {_number("rawno")} AS caseNumber FROM parts""",
     "casenumber_extract": _extracted(_number_in("content")),
@@ -289,6 +295,25 @@ ORACLE_SQL: dict[str, str] = {
         count(*) AS copies FROM clean GROUP BY caseNumber, court HAVING count(*) > 1""",
     "duplicate_members": f"""WITH {ROUTED} SELECT k, caseNumber, court, title, crawlDate, status,
         rn = 1 AS is_first FROM clean WHERE copies > 1""",
+    "duplicate_ordinals": f"""WITH {ROUTED} SELECT k, caseNumber, court, title, crawlDate,
+        row_number() OVER (PARTITION BY caseNumber, court ORDER BY crawlDate NULLS LAST, k) AS number,
+        copies FROM clean WHERE copies > 1""",
+    "court_identity": f"""WITH {COURTS_CTE}, names AS (
+        SELECT DISTINCT court FROM spelled WHERE court IS NOT NULL
+      ), met AS (
+        SELECT a.court, b.court AS long FROM names a JOIN names b
+        ON length(b.court) > length(a.court) AND b.court LIKE '%' || a.court
+      ), longest AS (
+        SELECT court, arg_max(long, length(long)) AS longest FROM met GROUP BY court
+      ), known AS (
+        SELECT court, longest FROM met JOIN longest USING (court)
+        GROUP BY court, longest HAVING bool_and(longest LIKE '%' || long)
+      ), named AS (
+        SELECT k, number, court, coalesce(longest, court) AS canonical
+        FROM spelled LEFT JOIN known USING (court)
+      ) SELECT min(k) AS k, number, arg_min(court, k) AS court, canonical
+      FROM named WHERE court IS NOT NULL GROUP BY number, canonical
+      UNION ALL SELECT min(k), number, NULL, NULL FROM named WHERE court IS NULL GROUP BY number""",
     "batch_survivors": f"WITH {ROUTED} SELECT k, {_RECORD}, route FROM clean WHERE rn = 1",
     "batch_duplicates": f"WITH {ROUTED} SELECT k, {_RECORD}, route FROM clean WHERE rn > 1",
     "history_left": f"""WITH {HISTORY} SELECT a.k, a.caseNumber, a.court,

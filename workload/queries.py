@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordwash.functions import extract, normalize
-from recordwash.operators import dedup, fields, history, offsets, parse, rules, words
+from recordwash.operators import courts, dedup, fields, history, offsets, parse, rules, words
 from recordwash.operators.once import evaluated_once
 from recordwash.plans.batch import wash_batch
 from recordwash.plans.delimited import clean_batch, clean_delimited, delimited_job
@@ -19,7 +19,7 @@ from recordwash.schema import RECORD_FIELDS
 from recordwash.sources import ranges
 from recordwash.sources.messages import file_stream, text_lines
 from recordwash.streaming.jobs import UNTIL_CAUGHT_UP, start_echo, start_wash, start_word_count
-from workload.fixtures import FIRST_BATCH_YEAR, as_stream_rows, declared, lines, messages
+from workload.fixtures import FIRST_BATCH_YEAR, as_stream_rows, declared, lines, messages, spelled
 
 KEY = ["caseNumber", "court"]
 STRIDES = 8
@@ -112,6 +112,16 @@ def id_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def id_quantile_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strides of equal counts over ids that thin out."""
+    key = F.col("o_orderkey").cast("long")
+    ids = _table(spark, sf_dir, "orders").select((key * key).alias("id"))
+    bounds = ranges.equal_counts(ids, "id", STRIDES, accuracy=1_000_000)
+    return ids.groupBy(ranges.index_among("id", bounds).alias("stride")).agg(
+        F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
+    )
+
+
 # Scalar functions over the whole table
 
 
@@ -171,6 +181,21 @@ def duplicate_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.group_members(rows, KEY, [], ["k"])
 
 
+def duplicate_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = Staging(spark)
+    rows = staging.store(_clean(spark, sf_dir).select("k", *KEY, "title", "crawlDate"), "clean")
+    return dedup.numbered_members(rows, KEY, ["crawlDate"], ["k"], staging)
+
+
+def court_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first row of each case, however its court is written."""
+    staging, rows = Staging(spark), spelled(spark, sf_dir)
+    names = staging.store(courts.court_names(rows, "court"), "names")
+    known = staging.store(courts.canonical_courts(names), "courts")
+    named = courts.with_canonical(rows, known, "canonical")
+    return dedup.survivors(named, ["number", "canonical"], [], ["k"])
+
+
 def batch_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Used twice below, so stored: the second use reads the key columns only.
     rows = Staging(spark).store(_clean(spark, sf_dir).drop("check_notes"), "clean")
@@ -372,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delimited_cleanup": delimited_cleanup,
     "delimited_runs": delimited_runs,
     "id_range_scan": id_range_scan,
+    "id_quantile_scan": id_quantile_scan,
     "casenumber_normalize": casenumber_normalize,
     "casenumber_extract": _text_function("found", extract.case_number_in, "content"),
     "court_extract": _text_function("found", extract.court_in, "content"),
@@ -387,6 +413,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_counts": route_counts,
     "duplicate_groups": duplicate_groups,
     "duplicate_members": duplicate_members,
+    "duplicate_ordinals": duplicate_ordinals,
+    "court_identity": court_identity,
     "batch_survivors": batch_survivors,
     "batch_duplicates": batch_duplicates,
     "history_left": history_left,
