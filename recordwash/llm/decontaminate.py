@@ -2,12 +2,13 @@
 
 The index is distributed by document: tasks turn their documents into segments of about
 `SEGMENT_WORDS` words, each with the sorted positions of every term, so building it needs no
-shuffle. A search takes a phrase's terms from the rarest in the segment on and intersects their
-lists, each moved back by the term's place in the phrase; what is left are the exact matches.
-With a slop, terms may stand that far from their place.
+shuffle. A search expands the list of each phrase's rarest term, for all phrases at once, and
+intersects with the others' lists from the next rarest on, each moved back by the term's place in the
+phrase: a start is in a term's list if that term stands at its place. What is left are the exact
+matches. With a slop, terms may stand that far from their place, and phrases are taken one by one.
 
 The benchmark is taken in parts of about `PART_WORDS` words, dealt by their text: items of one
-text are one part, and a broadcast of each part is held until the result has been written.
+text are one part. Where there are several, a part's matches are written before the next is read.
 
 Defined results: null texts have no words; an item without words matches nothing; items of one
 id count once; an item without id is named "null"; rows of one doc_id each get their row; empty
@@ -17,9 +18,10 @@ tables give empty or clean results; other columns don't matter.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property, partial, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ from recordwash.llm.common import keep_for, quoted, row_digest, scratch
 WINDOW = 13
 SEGMENT_WORDS = 500_000
 PART_WORDS = 2_000_000
+#: Phrases that are looked for at a time, and postings that are expanded at a time.
+PHRASES, EXPANDED = 1 << 17, 1 << 20
 #: A document is contaminated from this share of hit words on: 1 in 20.
 SHARE = 20
 
@@ -167,6 +171,9 @@ class Segment:
             return none, none, none
         own = pc.index_in(wanted.arrow_terms, value_set=self.terms).fill_null(-1).to_numpy()
         own = np.append(own, -2)  # for the filling
+        own = own.astype(np.int32)
+        if not slop:
+            return self._exact(own, wanted.rows)
         coded = own[wanted.rows]
         starts, which, docs = [], [], []
         for phrase in np.flatnonzero((coded != -1).all(1)):
@@ -179,6 +186,51 @@ class Segment:
             return none, none, none
         return np.concatenate(starts), np.concatenate(which), np.concatenate(docs)
 
+    @cached_property
+    def term_at(self) -> np.ndarray:
+        """The term at each place; -1 between documents."""
+        found = np.full(int(self.starts[-1] + self.sizes[-1]) + 1, -1, np.int32)
+        found[self.positions] = np.repeat(np.arange(len(self.counts)), self.counts)
+        return found
+
+    def _exact(
+        self, own: np.ndarray, rows: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matches of all phrases, a bounded number of phrases and of their starts at a time."""
+        starts, which = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for low in range(0, len(rows), PHRASES):
+            coded = own[rows[low : low + PHRASES]]
+            present = np.flatnonzero((coded != -1).all(1))
+            coded = coded[present]
+            counts = np.append(self.counts, [np.iinfo(np.int32).max] * 2)[coded]
+            order = np.argsort(counts, axis=1, kind="stable").astype(np.int32)
+            least = np.take_along_axis(counts, order[:, :1], 1)[:, 0].astype(np.int64)
+            group = (np.cumsum(least) - least) // EXPANDED
+            edges = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(present))
+            for i, j in zip(edges, edges[1:]):
+                start, phrase = self._intersected(coded[i:j], order[i:j], least[i:j])
+                starts.append(start)
+                which.append(low + present[i + phrase])
+        found = np.concatenate(starts)
+        return found, np.concatenate(which), self.document(found)
+
+    def _intersected(
+        self, coded: np.ndarray, order: np.ndarray, least: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and numbers of the phrases; `order` has their places from the rarest term on."""
+        phrase = np.repeat(np.arange(len(coded)), least)
+        first = self.ends[coded[np.arange(len(coded)), order[:, 0]]] - least
+        nth = np.arange(len(phrase)) - np.repeat(np.cumsum(least) - least, least)
+        start = self.positions[first[phrase] + nth].astype(np.int64) - order[phrase, 0]
+        fits = start >= 0
+        for place in order.T[1:]:
+            phrase, start = phrase[fits], start[fits]
+            at = start + place[phrase]
+            term = coded[phrase, place[phrase]]
+            inside = at < len(self.term_at)
+            fits = (term == -2) | (inside & (self.term_at[np.where(inside, at, 0)] == term))
+        return start[fits], phrase[fits]
+
     def _matches(self, terms: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and documents of a phrase, from its rarest term's list on.
 
@@ -278,8 +330,18 @@ def find(
 
     With a slop, each term may stand up to so many words from its place beside the rarest.
     """
-    parts = _parts(benchmark, window, id_col, text_col)
-    found = [index.mapInArrow(partial(_found, part, slop), MATCH_SCHEMA) for part in parts]
+    return _found_in_parts(index, _parts(benchmark, window, id_col, text_col), slop)
+
+
+def _found_in_parts(index: DataFrame, parts: Iterable[Broadcast], slop: int) -> DataFrame:
+    """The matches of all parts; those of a part are written before the next is broadcast."""
+    staging, found, last = scratch(index.sparkSession), [], None
+    for part in parts:
+        if last is not None:
+            found[-1] = staging.store(found[-1], f"part_{len(found)}")
+            last.destroy()
+        found.append(index.mapInArrow(partial(_found, part, slop), MATCH_SCHEMA))
+        last = part
     return reduce(DataFrame.unionByName, found)
 
 
@@ -288,20 +350,21 @@ def document_hits(
     id_col: str = "item_id", text_col: str = "text",
 ) -> DataFrame:
     """For each document its words, the words within a match, and the items that match."""
-    parts = list(_parts(benchmark, window, id_col, text_col))
-    if len(parts) == 1:
-        found = index.mapInArrow(partial(_hits, parts[0]), HIT_SCHEMA)
+    parts = _parts(benchmark, window, id_col, text_col)
+    first = next(parts)
+    second = next(parts, None)
+    if second is None:
+        found = index.mapInArrow(partial(_hits, first), HIT_SCHEMA)
         return found.withColumn("contaminated", is_contaminated())
-    return _hits_of_parts(index, parts)
+    return _hits_of_parts(index, chain([first, second], parts))
 
 
-def _hits_of_parts(index: DataFrame, parts: list[Broadcast]) -> DataFrame:
+def _hits_of_parts(index: DataFrame, parts: Iterable[Broadcast]) -> DataFrame:
     """Matches of several parts may overlap, so the words they cover are joined by document."""
-    found = [index.mapInArrow(partial(_found, part, 0), MATCH_SCHEMA) for part in parts]
+    found = _found_in_parts(index, parts, 0)
     covered = F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("word")
     words = (
-        reduce(DataFrame.unionByName, found)
-        .select("key", "doc_id", "item", covered)
+        found.select("key", "doc_id", "item", covered)
         .groupBy("key", "doc_id", "word")
         .agg(F.collect_set("item").alias("items"))
     )

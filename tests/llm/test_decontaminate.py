@@ -1,8 +1,10 @@
 import random
 import re
+import time
 from collections import Counter
 
 import cases
+import numpy as np
 
 from recordwash.llm import decontaminate
 from recordwash.llm.decontaminate import WINDOW
@@ -144,3 +146,46 @@ def test_empty_tables(spark):
     assert decontaminate.decontaminate(empty, none).count() == 0
     found = decontaminate.document_hits(decontaminate.build_index(docs), none)
     assert found.where("n_hit > 0 or contaminated").count() == 0
+
+
+def test_many_phrases_at_once(monkeypatch):
+    """The search of all phrases equals one by one, whatever is expanded at a time."""
+    draw = random.Random(4)
+    docs = [[draw.choice("abcde") for _ in range(draw.randint(0, 60))] for _ in range(60)]
+    segment = segment_of(docs)
+    items = [(str(i), [draw.choice("abcdef") for _ in range(draw.randint(0, 9))]) for i in range(300)]
+    for window in (None, 3, 13):
+        wanted = decontaminate.phrases(items, window)
+        want = []
+        for phrase in range(len(wanted.rows)):
+            terms = [wanted.terms[t] for t in wanted.rows[phrase, : wanted.lengths[phrase]]]
+            for doc, own in enumerate(docs):
+                want += [
+                    (int(segment.starts[doc]) + at, phrase, doc)
+                    for at in range(len(own) - len(terms) + 1) if own[at : at + len(terms)] == terms
+                ]
+        for sizes in ((1 << 17, 1 << 20), (7, 50)):
+            monkeypatch.setattr(decontaminate, "PHRASES", sizes[0])
+            monkeypatch.setattr(decontaminate, "EXPANDED", sizes[1])
+            assert sorted(zip(*(x.tolist() for x in segment.search(wanted)))) == sorted(want)
+
+
+def segment_of(docs):
+    batch = decontaminate._segment([str(i) for i in range(len(docs))], list(range(len(docs))), docs)
+    (segment,) = decontaminate._rows([batch])
+    return segment
+
+
+def test_time_of_many_phrases_on_one_segment():
+    draw = np.random.default_rng(1)
+    names = np.array([f"w{i}" for i in range(50_000)])
+    common = (draw.zipf(1.3, 500_000) % 50_000).tolist()
+    segment = segment_of([names[common[i : i + 500]].tolist() for i in range(0, 500_000, 500)])
+    texts = [names[(draw.zipf(1.3, 112) % 50_000)].tolist() for _ in range(2000)]
+    texts[5] = names[common[1000:1112]].tolist()
+    wanted = decontaminate.phrases([(str(i), t) for i, t in enumerate(texts)], WINDOW)
+    assert len(wanted.rows) == 200_000
+    start = time.perf_counter()
+    found = segment.search(wanted)
+    assert time.perf_counter() - start < 4
+    assert {1000 + 2 + i for i in range(100)} <= set(found[0][wanted.item_of[found[1]] == 5].tolist())
