@@ -30,7 +30,7 @@ from recordwash.operators.offsets import upsert
 from recordwash.plans.keys import KEY_SCHEMA, bits_for, buckets_of, only, touched, write_keys
 from recordwash.plans.manifest import Entry, Manifests, replaced
 from recordwash.schema import (
-    CLEANED, DUPLICATES, ECHO_SCHEMA, LINE_SCHEMA, MAIN, OFFSET_SCHEMA, PROGRESS_SCHEMA,
+    CLEANED, DUPLICATES, ECHO_SCHEMA, FIRST_SEEN_SCHEMA, LINE_SCHEMA, MAIN, OFFSET_SCHEMA, PROGRESS_SCHEMA,
     REJECT_SCHEMA, REJECTED, REVIEW, STORED_SCHEMA, WORD_COUNT_SCHEMA,
 )
 
@@ -41,6 +41,7 @@ TABLES = {
     "offsets": OFFSET_SCHEMA,
     "word_counts": WORD_COUNT_SCHEMA,
     "echo": ECHO_SCHEMA,
+    "first_seen": FIRST_SEEN_SCHEMA,
     "lines": LINE_SCHEMA,
     "record_keys": KEY_SCHEMA,
     "line_keys": KEY_SCHEMA,

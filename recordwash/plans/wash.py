@@ -87,6 +87,18 @@ def routed(
     )
 
 
+def keyed(
+    messages: DataFrame, *, court_match: str = "exact", courts: DataFrame | None = None
+) -> DataFrame:
+    """Each message's position and match key; also of a stream. Null where none is compared."""
+    records = parse_records(messages, ["value", *POSITION], fill_reason=False)
+    judged, court = judge(records, court_match), "court"
+    if courts is not None:
+        court = "canonical_court"
+        judged = with_canonical(judged, courts, court)
+    return judged.select(*POSITION, match_key(court).alias("match_key"))
+
+
 def _setbacks(
     rows: DataFrame, history: History | None, order: list[str], staging: Staging,
     broadcast_rows: int,

@@ -102,6 +102,13 @@ OFFSET_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
 ])
 
+#: The first message of each case.
+FIRST_SEEN_SCHEMA = T.StructType(
+    [T.StructField("match_key", T.BinaryType())]
+    + POSITION_SCHEMA.fields
+    + [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+)
+
 #: Where the clean-up of delimited lines sends a line, and what it stores.
 CLEANED, REJECTED = "cleaned", "rejected"
 LINE_SCHEMA = T.StructType(

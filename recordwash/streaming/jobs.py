@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from recordwash.operators.offsets import as_starting_offsets, offset_ranges, start_map
@@ -16,10 +17,11 @@ from recordwash.plans.batch import known_records
 from recordwash.plans.files import Files
 from recordwash.plans.staging import Staging
 from recordwash.plans.store import Store, run_id
-from recordwash.plans.wash import wash
+from recordwash.plans.wash import keyed, wash
 from recordwash.schema import POSITION
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: File in the checkpoint that asks a job to stop.
 STOP_MARKER = "stop"
 UNTIL_CAUGHT_UP = {"availableNow": True}
@@ -32,7 +34,7 @@ class StopRequested(Exception):
 
 
 def _start(
-    source: DataFrame, checkpoint: str, trigger: dict, step: BatchStep
+    source: DataFrame, checkpoint: str, trigger: dict, step: BatchStep, mode: str = "append"
 ) -> StreamingQuery:
     """Run `step(batch, run, batch_id)` on each non-empty micro-batch.
 
@@ -52,6 +54,7 @@ def _start(
 
     return (
         source.writeStream.foreachBatch(on_batch)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -124,6 +127,38 @@ def start_wash(
     return _start(source, checkpoint, trigger or EVERY_5_SECONDS, step)
 
 
+def start_first_seen(
+    source: DataFrame,
+    root: str,
+    checkpoint: str,
+    *,
+    trigger: dict | None = None,
+    **options: object,
+) -> StreamingQuery:
+    """Write the first message of each case, with the known keys in Spark's own state.
+
+    The state, kept by RocksDB, holds per key its first position and the times of the batches
+    that saw it first and last. A batch's time is the same for all its rows, and when it is run
+    again: a key is new if both are the same. Beside the wash, whose key table any job may read,
+    this needs no look-up, but only its own checkpoint knows the keys. `options` go to `keyed`.
+    """
+    spark = source.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    Store(spark, root).create()
+    rows = keyed(source, **options).where(F.col("match_key").isNotNull())
+    seen = rows.withColumn("seen", F.current_timestamp()).groupBy("match_key").agg(
+        F.min(F.struct(*POSITION)).alias("first"), F.min("seen").alias("since"),
+        F.max("seen").alias("last"),
+    )
+
+    def step(batch: DataFrame, run: str, batch_id: int) -> None:
+        new = batch.where(F.col("since") == F.col("last")).select("match_key", "first.*")
+        with Store(batch.sparkSession, root).batch(run, batch_id) as tables:
+            tables.add("first_seen", new)
+
+    return _start(seen, checkpoint, trigger or EVERY_5_SECONDS, step, "update")
+
+
 def start_word_count(
     source: DataFrame,
     root: str,

@@ -16,8 +16,8 @@ from recordwash.schema import MESSAGE_SCHEMA, RECORD_FIELDS
 from recordwash.sources import messages as sources
 from recordwash.sources import ranges
 from recordwash.streaming.jobs import (
-    UNTIL_CAUGHT_UP, request_stop, run_until_stopped, saved_starts, start_echo, start_wash,
-    start_word_count,
+    UNTIL_CAUGHT_UP, request_stop, run_until_stopped, saved_starts, start_echo,
+    start_first_seen, start_wash, start_word_count,
 )
 
 TEXT = "{court} 民事 {number} 二〇一七年十二月七日"
@@ -384,3 +384,24 @@ def test_other_failures_are_raised(spark, tmp_path):
     )
     with pytest.raises(StreamingQueryException, match="no such match"):
         run_until_stopped(query, str(tmp_path / "c"), poll_seconds=0.1)
+
+
+def test_first_seen_in_state_equals_the_table(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "store", "checkpoint"))
+    late = [MESSAGES[0], message("（2017）渝1民初9号"), MESSAGES[6], MESSAGES[3]]
+    batches = [MESSAGES[:5], MESSAGES[5:], late]
+    at = 0
+    for i, values in enumerate(batches):
+        feed(spark, source, i, values, at)
+        at += len(values)
+        stream = sources.file_stream(spark, source)
+        start_first_seen(stream, root, checkpoint, trigger=UNTIL_CAUGHT_UP).awaitTermination()
+        wash_batch(stream_rows(spark, values, at - len(values)), f"{root}-2", i, order=())
+    table = Store(spark, f"{root}-2").records("main").where("match_key IS NOT NULL")
+    first = Store(spark, root).read("first_seen")
+    assert {(r["offset"], r["batch_id"], bytes(r["match_key"])) for r in first.collect()} == {
+        (r["offset"], r["batch_id"], bytes(r["match_key"])) for r in table.collect()
+    }
+    assert first.count() == table.count() == 5
+    assert any("rocksdb" in name.lower() or name.endswith((".zip", ".changelog"))
+               for _, _, names in os.walk(f"{checkpoint}/state") for name in names)

@@ -13,7 +13,7 @@ from recordwash.plans.wash import routed
 from workload.fixtures import as_stream_rows, messages
 from workload.queries import QUERIES
 
-STREAMS = {"delimited_runs", "text_wash", "stream_wash", "stream_word_count", "stream_echo"}
+STREAMS = {"delimited_runs", "stream_first_seen", "text_wash", "stream_wash", "stream_word_count", "stream_echo"}
 
 
 def plan(df):

@@ -46,6 +46,40 @@ msgs AS (
   FROM parts)
 """
 
+# The same messages as crawlers write them: dates in other forms, missing or no dates, courts without
+# their province, long texts, broken JSON, and messages that came twice.
+_CRAWLED = "'\"crawlDate\":\"2018-05-'"
+VARIED_CTE = rf"""
+written AS (
+  SELECT k, y, CASE k % 11
+      WHEN 0 THEN replace(value, {_CRAWLED}, '"crawlDate":"2018-5-')
+      WHEN 1 THEN replace(value, {_CRAWLED}, '"crawlDate":"201805')
+      WHEN 2 THEN replace(value, {_CRAWLED}, '"crawlDate":"about ')
+      WHEN 3 THEN replace(value, {_CRAWLED} || lpad(cast(1 + k % 28 AS string), 2, '0') || '"', '"crawlDate":null')
+      WHEN 4 THEN replace(value, {_CRAWLED}, '"crawlDate":"2017-13-')
+      ELSE value END AS value
+  FROM msgs),
+dated AS (
+  SELECT k, y, CASE k % 9
+      WHEN 0 THEN replace(value, '"judgementDate":"2017-0', '"judgementDate":"2017-')
+      WHEN 1 THEN replace(replace(replace(value, '"judgementDate":"2017-10-', '"judgementDate":"201710'),
+        '"judgementDate":"2017-11-', '"judgementDate":"201711'), '"judgementDate":"2017-12-', '"judgementDate":"201712')
+      ELSE value END AS value
+  FROM written),
+named AS (
+  SELECT k, y, CASE WHEN k % 8 >= 5 THEN replace(replace(value, '"court":"安徽省望江县', '"court":"望江县'),
+      '"court":"吉林省四平市中级', '"court":"四平市中级') ELSE value END AS value
+  FROM dated),
+single AS (
+  SELECT k, y, CASE WHEN k % 59 = 7 THEN '{{"a" ' || cast(k AS string) || '}}'
+      WHEN k % 499 = 1 THEN replace(value, '<div>民事一审</div>', '<div>民事一审</div>' || repeat('原告诉称：被告应当依法承担责任。', 1 + cast(k % 20 AS int) * 150))
+      ELSE value END AS value
+  FROM named),
+varied AS (
+  SELECT k, y, value FROM single
+  UNION ALL SELECT k + 100000000 AS k, y, value FROM single WHERE k % 20 = 3)
+"""
+
 # Eight pipe-delimited fields; every 53rd is a comma header, every 59th has nine fields.
 LINES_CTE = r"""
 packed AS (
@@ -111,6 +145,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derived(spark, sf_dir, query, "messages")
 
 
+def varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, y, value): messages that reach every branch of the wash."""
+    query = f"WITH {MESSAGES_CTE}, {VARIED_CTE} SELECT k, y, value FROM varied"
+    return _derived(spark, sf_dir, query, "varied")
+
+
 def declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, rawno, court): the declared values before they are put into a message."""
     query = f"WITH {MESSAGES_CTE} SELECT k, rawno, court FROM parts"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from recordwash.functions.reasons import REASON_KEYWORDS, TITLE_KEYWORDS
 from recordwash.schema import MATCH_FAMILY, OTHER_FAMILY, RECORD_FIELDS
-from workload.fixtures import COURTS_CTE, FIRST_BATCH_YEAR, LINES_CTE, MESSAGES_CTE
+from workload.fixtures import COURTS_CTE, FIRST_BATCH_YEAR, LINES_CTE, MESSAGES_CTE, VARIED_CTE
 
 
 def _clean(x: str) -> str:
@@ -162,15 +162,34 @@ _ON = "a.caseNumber = b.caseNumber AND a.court = b.court"
 _RECORD = ", ".join(RECORD_FIELDS)
 
 
-def _wash(chunk: str) -> str:
+def _date(x: str) -> str:
+    return (
+        f"(CASE WHEN regexp_full_match({x}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN try_cast({x} AS DATE) "
+        f"WHEN regexp_full_match({x}, '\\d{{8}}') THEN try_cast(substr({x}, 1, 4) || '-' || "
+        f"substr({x}, 5, 2) || '-' || substr({x}, 7, 2) AS DATE) END)"
+    )
+
+
+_SUFFIX = "court LIKE '%' || f_court OR f_court LIKE '%' || court"
+#: The same for messages in all their forms.
+VARIED = (
+    ROUTED.replace(MESSAGES_CTE, f"{MESSAGES_CTE}, {VARIED_CTE}")
+    .replace("FROM msgs WHERE", "FROM varied WHERE json_valid(value) AND")
+    .replace("court = f_court", _SUFFIX)
+    .replace("try_cast(judgementDate AS DATE)", _date("judgementDate"))
+)
+_BY_CRAWL = f"{_date('crawlDate')} NULLS LAST, crawlDate NULLS LAST, k"
+
+
+def _wash(chunk: str, routed: str = ROUTED, order: str = "k", judged: str = "judgementDate") -> str:
     """Chunks are washed in order; each is compared with what earlier ones kept."""
-    return f"""WITH {ROUTED},
+    return f"""WITH {routed},
     numbered AS (
       SELECT *, {chunk} AS chunk,
         CASE route
           WHEN 1 THEN '1' || chr(1) || caseNumber || chr(1) || court
           WHEN 2 THEN '2' || chr(1) || coalesce(court, chr(2)) || chr(1)
-            || coalesce(title, chr(2)) || chr(1) || coalesce(judgementDate, chr(2))
+            || coalesce(title, chr(2)) || chr(1) || coalesce({judged}, chr(2))
         END AS match
       FROM routed
     ),
@@ -179,7 +198,7 @@ def _wash(chunk: str) -> str:
       QUALIFY row_number() OVER (PARTITION BY chunk, value ORDER BY k) = 1
     ),
     ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY match, chunk ORDER BY k) AS rn,
+      SELECT *, row_number() OVER (PARTITION BY match, chunk ORDER BY {order}) AS rn,
         min(chunk) OVER (PARTITION BY match) AS first_chunk
       FROM singles
     ),
@@ -255,6 +274,22 @@ ORACLE_SQL: dict[str, str] = {
         SELECT min(k) AS k FROM packed GROUP BY value
       ) SELECT {_DELIMITED_COLUMNS} FROM cleaned SEMI JOIN lines USING (k)
       WHERE reject_reason IS NULL""",
+    "varied_rejects": f"""WITH {MESSAGES_CTE}, {VARIED_CTE} SELECT k, value,
+        CASE WHEN value LIKE '{{%' AND value LIKE '%}}' THEN 'malformed JSON'
+          ELSE 'not a JSON object' END AS reject_reason
+      FROM varied WHERE NOT (value LIKE '{{%' AND value LIKE '%}}' AND json_valid(value))""",
+    "wash_varied": _wash(
+        f"CASE WHEN y < {FIRST_BATCH_YEAR} THEN 0 ELSE 1 END", VARIED, _BY_CRAWL,
+        f"cast({_date('judgementDate')} AS VARCHAR), judgementDate",
+    ),
+    "stream_first_seen": f"""SELECT min(k) AS k, min(chunk) AS batch_id FROM (
+        SELECT *, min(chunk) OVER (PARTITION BY route, number, court, title, date) AS first_chunk
+        FROM (
+          WITH {ROUTED} SELECT k, cast(CASE WHEN y < {FIRST_BATCH_YEAR} THEN 0 ELSE 1 END AS BIGINT) AS chunk,
+            route, CASE route WHEN 1 THEN caseNumber END AS number, court,
+            CASE route WHEN 2 THEN title END AS title, CASE route WHEN 2 THEN judgementDate END AS date
+          FROM routed WHERE route IN (1, 2))
+      ) WHERE chunk = first_chunk GROUP BY route, number, court, title, date""",
     "delimited_runs": f"""{_DELIMITED}, firsts AS (
         SELECT value AS line, min(k) AS k,
           min(CASE WHEN k % 10 < 5 THEN 0 WHEN k % 10 < 8 THEN 1 ELSE 2 END) AS run

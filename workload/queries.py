@@ -18,8 +18,12 @@ from recordwash.plans.wash import wash
 from recordwash.schema import RECORD_FIELDS
 from recordwash.sources import ranges
 from recordwash.sources.messages import file_stream, text_lines
-from recordwash.streaming.jobs import UNTIL_CAUGHT_UP, start_echo, start_wash, start_word_count
-from workload.fixtures import FIRST_BATCH_YEAR, as_stream_rows, declared, lines, messages, spelled
+from recordwash.streaming.jobs import (
+    UNTIL_CAUGHT_UP, start_echo, start_first_seen, start_wash, start_word_count,
+)
+from workload.fixtures import (
+    FIRST_BATCH_YEAR, as_stream_rows, declared, lines, messages, spelled, varied,
+)
 
 KEY = ["caseNumber", "court"]
 STRIDES = 8
@@ -320,6 +324,26 @@ def wash_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _washed(past.records.unionByName(new.records))
 
 
+def wash_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wash with its own order, by crawl date, of messages in all their forms."""
+    everything = varied(spark, sf_dir)
+    is_past = F.col("y") < FIRST_BATCH_YEAR
+    options = {"court_match": "suffix"}
+    past = wash(as_stream_rows(everything.where(is_past)), None, Staging(spark), **options)
+    new = wash(
+        as_stream_rows(everything.where(~is_past)),
+        past.table("main").select("match_key"),
+        Staging(spark),
+        **options,
+    )
+    return _washed(past.records.unionByName(new.records))
+
+
+def varied_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = parse.parse_json(varied(spark, sf_dir))
+    return checked.where(F.col("reject_reason").isNotNull()).select("k", "value", "reject_reason")
+
+
 def text_wash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files, washed batch by batch into stored tables, and SQL over their views."""
     staging = Staging(spark)
@@ -352,6 +376,17 @@ def stream_wash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _washed(Store(spark, store).read("records"))
 
 
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = Staging(spark)
+    store, checkpoint = staging.path("store"), staging.path("checkpoint")
+    y = F.col("y")
+    for i, part in enumerate([y < FIRST_BATCH_YEAR, y >= FIRST_BATCH_YEAR]):
+        as_stream_rows(messages(spark, sf_dir).where(part)).write.parquet(staging.path(f"input/{i}"))
+        source = file_stream(spark, staging.path("input"))
+        start_first_seen(source, store, checkpoint, trigger=UNTIL_CAUGHT_UP).awaitTermination()
+    return Store(spark, store).read("first_seen").select(F.col("offset").alias("k"), "batch_id")
+
+
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
     store, checkpoint = staging.path("store"), staging.path("checkpoint")
@@ -428,8 +463,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offset_upsert": offset_upsert,
     "offset_start_map": offset_start_map,
     "wash_end_to_end": wash_end_to_end,
+    "wash_varied": wash_varied,
+    "varied_rejects": varied_rejects,
     "text_wash": text_wash,
     "stream_wash": stream_wash,
+    "stream_first_seen": stream_first_seen,
     "stream_word_count": stream_word_count,
     "stream_echo": stream_echo,
 }
