@@ -42,7 +42,7 @@ from recordwash.llm.bpe import byte_letters
 from recordwash.llm.common import keep_for, quoted, scratch
 
 #: Bytes of text whose pairs are sent together, and that are aligned at a time.
-BLOCK_BYTES, SLICE_BYTES = 16 << 20, 1 << 20
+BLOCK_BYTES, SLICE_BYTES = 4 << 20, 1 << 20
 #: Remembered pieces of text, and the longest that is remembered.
 CACHED_PIECES, LONGEST_PIECE = 250_000, 48
 #: Pairs of a block that are sent in one row.
