@@ -12,7 +12,8 @@ text are one part. Where there are several, a part's matches are written before
 
 Defined results: null texts have no words; an item without words matches nothing; items of one
 id count once; an item without id is named "null"; rows of one doc_id each get their row; empty
-tables give empty or clean results; other columns don't matter.
+tables give empty or clean results; a very long text is in one segment, whole; other columns don't
+matter.
 """
 
 from __future__ import annotations

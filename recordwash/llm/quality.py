@@ -5,11 +5,13 @@ Each passage is encoded by features of its words (shapes, case, signs, repetitio
 layer. Gated attention gives each passage a weight, learned from document labels alone; the
 weighted mean of the encodings is scored.
 
-The model, a few thousand numbers, is fitted on the driver to the rows of at most
+The model, a few thousand numbers, is fitted on the driver to one row each of at most
 `TRAINING_ROWS` labelled ids, whose features the tasks make, and broadcast for scoring. Features
-take 232 bytes a passage, whatever the number of passages or of rows of an id.
+take 232 bytes a passage. Ids are taken in the order of their digests while their passages add up to
+`TRAINING_PASSAGES` at most: longer texts make fewer of them, never shorter ones.
 
-Defined results: null text counts as empty; an empty text is one passage of zeros and gets a
+Defined results: null text counts as empty; of the rows of a labelled id the one whose text has the
+least digest is learned from; an empty text is one passage of zeros and gets a
 score too. Without training rows of both labels the score is the share of label 1, or 0.5 if
 there are none. Repeated ids each get their row; an empty table gives an empty result; other
 columns pass through `add_score`, and a taken result name gets underscores before it.
@@ -28,13 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordwash.llm.common import add_column, free_name, keep_for
 from recordwash.llm.labelled import training_rows
 
 PASSAGE_WORDS = 64
-TRAINING_ROWS = 12_000
+TRAINING_ROWS, TRAINING_PASSAGES = 12_000, 400_000
 #: Bins for the shapes of words; words kept with their features; letters handled at a time.
 SHAPES, KEPT_WORDS, SLICE_LETTERS = 48, 200_000, 1 << 20
 HIDDEN, GATES, EPOCHS, BATCH, RATE, DECAY = 24, 12, 12, 64, 3e-3, 1e-4
@@ -215,12 +218,35 @@ def fit(
     most: int = TRAINING_ROWS,
 ) -> Model:
     """A model of the label, learned outside the fold."""
-    rows = training_rows(docs, labels, label, folds, fold, most).orderBy("doc_id", "text")
-    found = rows.select("text", "label").mapInArrow(_bags, "label double, x binary").collect()
+    rows = bounded(training_rows(docs, labels, label, folds, fold, most))
+    found = rows.orderBy("doc_id").select("text", "label").mapInArrow(_bags, "label double, x binary").collect()
     bags = [np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES) for r in found]
     return train(bags, np.array([r["label"] for r in found], float))
 
 
+def bounded(rows: DataFrame) -> DataFrame:
+    """One whole row per id, for as many ids as keep to the bound of passages.
+
+    What the driver adds up is one number an id, at most `TRAINING_ROWS` of them.
+    """
+    digest = F.struct(F.xxhash64("text"), F.md5("text")).alias("digest")
+    n_words = F.regexp_count("text", F.lit(r"\S+"))
+    sized = rows.select("*", digest, F.greatest(F.lit(1), F.ceil(n_words / PASSAGE_WORDS)).alias("n"))
+    firsts = sized.groupBy("doc_id").agg(F.min(F.struct("digest", "n")).alias("first"))
+    ordered = firsts.select("doc_id", "first.*").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    total, chosen = 0, []
+    for r in ordered:
+        if (total := total + r["n"]) > TRAINING_PASSAGES:
+            break
+        chosen.append((r["doc_id"], tuple(r["digest"])))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    kept = rows.sparkSession.createDataFrame(
+        chosen, f"doc_id {kind}, digest struct<col1:bigint,col2:string>"
+    )
+    met = rows.select("*", digest).join(F.broadcast(kept), ["doc_id", "digest"], "left_semi")
+    return met.dropDuplicates(["doc_id"]).drop("digest")
+
+
 def add_score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score"):
     """The rows with the probability of label 1 for their whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

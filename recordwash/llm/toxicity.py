@@ -3,14 +3,16 @@
 The labelled rows are dealt into three parts by a digest of their id. The first yields the
 lexicons: words, and beginnings of words, whose share of toxic documents stands out. Trees are
 fitted to the features of the second part, so a lexicon never sees its own rows, and the
-calibration to the margins of the third. All of it runs on Spark; only the lexicons, at most
-`LEXICON_SIZE` entries each, pass through the driver.
+calibration to the margins of the third. All of it runs on Spark; only the lexicons pass through the
+driver: terms of at least `LEAST_DOCUMENTS` toxic training documents, so bounded by their words.
 
 `TRAINING_ROWS` bounds the labelled rows; scores are given to every row and whole text.
 
 Defined results: null text counts as empty; its features are zero and it gets a score too.
 Without training rows of both labels the score is the share of label 1 among them, or 0 if
-there are none. Repeated ids each get their row; an empty table gives an empty result.
+there are none. Very long texts are read whole, in linear time; equal texts get equal scores, and rows
+with equal margins the same calibrated one. Repeated ids each get their row; an empty table gives an
+empty result; other columns, whatever their names, don't matter.
 """
 
 from __future__ import annotations
@@ -35,7 +37,6 @@ from recordwash.llm.common import add_column, scratch, text_of
 from recordwash.llm.labelled import training_rows
 
 TRAINING_ROWS = 40_000
-LEXICON_SIZE = 5_000
 #: A lexicon entry is in so many toxic documents at least, with such a log ratio of shares.
 LEAST_DOCUMENTS, LEAST_RATIO = 4, 2.5
 STEM_LETTERS = 5
@@ -145,8 +146,7 @@ def learn_lexicons(rows: DataFrame) -> Lexicons:
     marked = marked.where(F.col("weight") >= LEAST_RATIO)
     found: dict[str, dict[str, float]] = {}
     for kind in ("word", "stem"):
-        best = marked.where(F.col("kind") == kind).orderBy(F.desc("weight"), F.desc("a"), "term")
-        found[kind] = {r["term"]: r["weight"] for r in best.limit(LEXICON_SIZE).collect()}
+        found[kind] = {r["term"]: r["weight"] for r in marked.where(F.col("kind") == kind).collect()}
     return Lexicons(found["word"], found["stem"])
 
 

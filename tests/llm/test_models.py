@@ -146,3 +146,16 @@ def test_scores_of_awkward_rows(spark):
     by_label = found.where("doc_id > 30").groupBy((F.col("doc_id") % 3 == 0).alias("t")).agg(F.avg("score"))
     scores = dict(by_label.collect())
     assert scores[True] > 0.9 > 0.1 > scores[False]
+
+
+def test_training_passages_are_bounded_by_whole_rows(spark, monkeypatch):
+    rows = [(i, f"{i} " + "word " * n) for i, n in enumerate([10, 700, 64, 63, 2000, 1, 0, 300])]
+    rows += [(3, "another text"), (3, "another text"), (9, "")]
+    frame = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, label double")
+    every = {(r["doc_id"], r["text"]) for r in quality.bounded(frame).collect()}
+    assert {i for i, _ in every} == {i for i, _ in rows} and every < set(rows) | {(3, "another text")}
+    monkeypatch.setattr(quality, "TRAINING_PASSAGES", 20)
+    some = {(r["doc_id"], r["text"]) for r in quality.bounded(frame.repartition(5)).collect()}
+    assert some < every
+    assert sum(max(1, -(-len(t.split()) // 64)) for _, t in some) <= 20
+    assert quality.bounded(frame.limit(0)).collect() == []
