@@ -3,6 +3,9 @@
 A stage deletes the intermediate tables of the stage before it: by then that one's result has
 been written. `run` keeps each stage's result as a table in the shared folder and returns the
 last; the tables of earlier stages are deleted when the next one has been written.
+
+Every stage takes null and empty texts, null and repeated ids, rows equal throughout, very long
+texts, an empty table, and further columns of any name; all but the last return the columns they got.
 """
 
 from __future__ import annotations
@@ -20,6 +23,11 @@ LEAST_QUALITY = 0.5
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text is scored at least `LEAST_QUALITY`.
+
+    Null and empty texts are scored as empty; equal texts get equal scores and stay or go together;
+    an empty table stays empty. Without labels of both kinds all scores are equal.
+    """
     release_scratch()
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=3, fold=1)
     score = free_name(docs, "score")
@@ -28,21 +36,36 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts equal but for white space the longest as written, then that of the least id.
+
+    Null and empty texts are one group; a null id comes after all others; of rows equal throughout
+    one stays.
+    """
     release_scratch()
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts linked by a similarity of 0.8 or more, the row of the least id.
+
+    Texts without words and texts of fewer than five are compared as `jaccard_join` states; a null
+    id comes after all others; of rows equal throughout one stays.
+    """
     release_scratch()
     return jaccard_join.drop_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of whose words fewer than one in twenty stand in a passage of the benchmark.
+
+    Rows without words stay; rows equal throughout stay or go together.
+    """
     release_scratch()
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of the ids of each text and of what they decode to; null counts as empty."""
     release_scratch()
     return encoded_digests(docs)
 
