@@ -37,7 +37,7 @@ WINDOW = 13
 SEGMENT_WORDS = 500_000
 PART_WORDS = 2_000_000
 #: Phrases that are looked for at a time, and postings that are expanded at a time.
-PHRASES, EXPANDED = 1 << 17, 1 << 20
+PHRASES, EXPANDED = 1 << 15, 1 << 17
 #: A document is contaminated from this share of hit words on: 1 in 20.
 SHARE = 20
 
