@@ -77,6 +77,35 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+#: All pairs that share a shingle; classes by spreading the ids along the links.
+OP8 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+  FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 5 * n_both >= 4 * (p.n + q.n - n_both)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+class AS (SELECT a AS doc_id, min(b) AS class_id, count(*) AS class_size FROM reach GROUP BY a),
+counts AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, class_id, class_size, coalesce(n_links, 0) AS n_links
+FROM class LEFT JOIN counts USING (doc_id)
+"""
+
 OP9 = r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (
@@ -210,6 +239,7 @@ ORACLE_SQL = {
     "op1_exact_dedup": OP1,
     "op3_substring_dedup": OP3,
     "op4_decontaminate": OP4,
+    "op8_jaccard_join": OP8,
     "op9_warc": OP9,
     "op12_embed_dedup": OP12,
     "op13_merkle": OP13,
