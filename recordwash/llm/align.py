@@ -26,6 +26,7 @@ import re
 from array import array
 from collections.abc import Iterator, Mapping
 from functools import lru_cache, partial
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -44,7 +45,7 @@ from recordwash.llm.common import keep_for, quoted, scratch
 #: Bytes of text whose pairs are sent together, and that are aligned at a time.
 BLOCK_BYTES, SLICE_BYTES = 4 << 20, 1 << 20
 #: Remembered pieces of text, and the longest that is remembered.
-CACHED_PIECES, LONGEST_PIECE = 250_000, 48
+CACHED_PIECES, LONGEST_PIECE = 180_000, 48
 #: Pairs of a block that are sent in one row.
 SENT_PAIRS = 1 << 16
 
@@ -80,6 +81,7 @@ class Sides:
         self.shown = [f"{i}{end}" for i in range(self.a_size) for end in ",|"]
         self.shown += [f"{i}{end}" for i in range(self.b_size) for end in ",;"]
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.earlier: dict[str, tuple[bytes, bytes] | None] = {}
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -87,24 +89,45 @@ class Sides:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Packed ids of both sides; None where the bytes differ. Texts begin with a space."""
-        found = []
-        of_a = self.a.encode_batch_fast(texts, add_special_tokens=False)
+        of_a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         of_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        for text, a, b in zip(texts, of_a, of_b):
-            a, raw = a.ids, text.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, a)) == raw
-            same = same and b"".join(map(self.b_bytes.__getitem__, b)) == raw
+        raw = [t.encode() for t in texts]
+        sides = ((of_a, self.a_bytes, self.a_len), (of_b, self.b_bytes, self.b_len))
+        packed = [self._all_same(ids, raw, *known) for ids, *known in sides]
+        if None not in packed:
+            return list(zip(*packed))
+        found = []
+        for text, a, b in zip(raw, of_a, of_b):
+            same = b"".join(map(self.a_bytes.__getitem__, a)) == text
+            same = same and b"".join(map(self.b_bytes.__getitem__, b)) == text
             found.append((array("i", a).tobytes(), array("i", b).tobytes()) if same else None)
         return found
 
+    @staticmethod
+    def _all_same(
+        ids: list[list[int]], texts: list[bytes], token_bytes: list[bytes], token_len: np.ndarray
+    ) -> list[bytes] | None:
+        """Each text's packed ids; None unless every text has its tokens' bytes."""
+        flat = list(chain.from_iterable(ids))
+        if b"".join(map(token_bytes.__getitem__, flat)) != b"".join(texts):
+            return None
+        numbers = np.array(flat, np.int32)
+        edges = np.cumsum([0, *map(len, ids)])
+        reach = np.concatenate([[0], np.cumsum(token_len[numbers])])[edges]
+        if not np.array_equal(np.diff(reach), list(map(len, texts))):
+            return None
+        content, cuts = numbers.tobytes(), (4 * edges).tolist()
+        return [content[i:j] for i, j in zip(cuts, cuts[1:])]
+
     def ids(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """As `encode`, from remembered pieces."""
+        """As `encode`, from remembered pieces: the latest, and as many from before them."""
         if len(self.known) > CACHED_PIECES:
-            self.known = {}
+            self.earlier, self.known = self.known, {}
         pieces = [PIECE.findall(t) for t in texts]
-        new = list({p for of_text in pieces for p in of_text if p not in self.known})
-        coded = dict(zip(new, self.encode(new)))
-        self.known |= coded
+        missing = {p for of_text in pieces for p in of_text if p not in self.known}
+        again = {p: self.earlier[p] for p in missing if p in self.earlier}
+        new = [p for p in missing if p not in again]
+        self.known |= again | dict(zip(new, self.encode(new) if new else []))
         found = []
         for text, of_text in zip(texts, pieces):
             ids = list(map(self.known.__getitem__, of_text))
