@@ -64,9 +64,11 @@ class Store:
         self.manifests = Manifests(spark, self.root)
         self.files = self.manifests.files
 
-    def create(self, *tables: str) -> None:
-        """Make the store if it is absent."""
-        self.manifests.publish(lambda entries: None if self.manifests.last()[0] >= 0 else [])
+    def create(self) -> None:
+        """Make the store if it is absent, with all its tables empty."""
+        if self.manifests.last()[0] < 0:
+            # None if another writer came first.
+            self.manifests.publish(lambda entries: entries or [])
 
     def read(self, table: str) -> DataFrame:
         """All rows of the last manifest."""
