@@ -20,6 +20,8 @@ from recordwash.operators.rules import judge
 from recordwash.plans.staging import Staging
 from recordwash.schema import DATE_FIELDS, DUPLICATES, MAIN, POSITION, RECORD_FIELDS, REVIEW
 
+#: Narrow rows of a task's hash table, some 50 bytes each.
+HASHED_ROWS = 4_000_000
 #: Keys that are known, or a look-up of a batch's keys.
 History = DataFrame | Callable[[DataFrame], DataFrame]
 
@@ -166,9 +168,13 @@ def wash(
     setbacks = staging.store(
         _setbacks(rows, history, list(order), staging, broadcast_rows), "setbacks"
     )
-    if setbacks.count() <= broadcast_rows:
+    n_setbacks = setbacks.count()
+    n_tasks = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n_setbacks <= broadcast_rows:
         setbacks = F.broadcast(setbacks)
-    else:  # a hash table of the narrow side: texts are moved but not sorted
+    elif n_setbacks <= HASHED_ROWS * n_tasks:
+        # A hash table of the narrow side: texts are moved but not sorted. It can't spill, so
+        # beyond its bound Spark's own choice, a merge join, is left.
         setbacks = setbacks.hint("shuffle_hash")
     fate = F.col("setback")
     records = (
