@@ -6,12 +6,13 @@ axes can add is at most the product of the two suffix norms, and where that cann
 threshold a pair is given up. The rest gets the next axes, and at last the full cosine in double
 precision, so a link is never wrong.
 
-Which vectors meet: comparing all tiles with all would be quadratic, and no bound on axes prunes
-vectors that lie in all directions. So vectors are dealt into cells by cross-polytope hashes of
+Which vectors meet: all tiles meet all, whatever the size of the table, so every link is found. The
+work is quadratic, in memory bounded by two tiles a task. A caller who can do with a part of the links
+gives a `recall`: vectors are then dealt into cells by cross-polytope hashes of
 the turned vectors (the axis of a random rotation that is nearest), in several tables. All pairs
 of a cell are compared. The size of cells is fixed, their number grows with the table, and the
 number of tables follows from the rate at which pairs just at the threshold share a cell, which is
-simulated: the expected recall of such pairs is `RECALL`, of closer pairs more. Pairs that meet in
+simulated: the expected recall of such pairs is the one given, of closer pairs more. Pairs that meet in
 several tables are counted in the first one only, without any list of pairs.
 
 Vectors with equal components are one class: each Arrow batch sends a class once with its number
@@ -44,8 +45,6 @@ from recordwash.llm.common import join_groups, quoted, scratch
 from recordwash.llm.components import components
 
 THRESHOLD = 0.9
-#: Expected share of the pairs just at the threshold that share a cell in some table.
-RECALL = 0.97
 #: Vectors that the axes are fitted on, those with the least digests of their ids: at most so
 #: many, and at most so many components.
 SAMPLE_ROWS, SAMPLE_NUMBERS = 20_000, 4_000_000
@@ -137,9 +136,12 @@ def rate_at(threshold: float, width: int, n_cells: int) -> float:
     return same / pairs
 
 
-def plan_for(sample: np.ndarray, width: int, n_rows: int, threshold: float, recall: float) -> Plan:
-    n_cells = ceil(n_rows / MEAN_ROWS)
-    if n_cells <= 1:  # one cell holds all
+def plan_for(
+    sample: np.ndarray, width: int, n_rows: int, threshold: float, recall: float | None
+) -> Plan:
+    """Without a recall one cell for all rows, however many."""
+    n_cells = 1 if recall is None else ceil(n_rows / MEAN_ROWS)
+    if n_cells <= 1:
         rotations = [[np.zeros((width, 1))]]
     else:
         rate = min(rate_at(threshold, width, n_cells), 1 - 1e-6)
@@ -360,12 +362,13 @@ def _sample(rows: DataFrame, width: int) -> np.ndarray:
 
 def link(
     df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-    threshold: float = THRESHOLD, recall: float = RECALL,
+    threshold: float = THRESHOLD, recall: float | None = None,
 ) -> DataFrame:
     """Per row its id, n_links, component_id and kept.
 
     `n_links` counts the other rows with a cosine of the threshold or more; `component_id` is the
-    least id reachable by links.
+    least id reachable by links. Only with a `recall` (say 0.97) links may be missed: it is the
+    expected share that is found of those just at the threshold.
     """
     spark, staging = df.sparkSession, scratch(df.sparkSession)
     single = df.schema[vector_col].dataType.simpleString() == "array<float>"
