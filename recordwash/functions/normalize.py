@@ -66,12 +66,10 @@ def int_or_null(c: Column) -> Column:
 
 def _unambiguous(values: Sequence[Column]) -> Column:
     # Length prefixes keep ("ab", "c") and ("a", "bc") apart whatever the values hold.
-    texts = F.array(*[v.cast("string") for v in values])
-    sized = F.transform(
-        texts,
-        lambda t: F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")),
-    )
-    return F.array_join(sized, "")
+    # No lambda: with one, neither the digest nor what it is selected with is compiled.
+    texts = [v.cast("string") for v in values]
+    sized = [F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]
+    return F.concat(*[F.coalesce(s, F.lit("-")) for s in sized])
 
 
 def row_key(values: Sequence[Column]) -> Column:

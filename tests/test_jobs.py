@@ -342,6 +342,20 @@ def test_wash_against_brute_force_with_a_hot_case(spark, broadcast_rows):
     assert second.records.count() == len(distinct(new))
 
 
+def test_texts_stay_where_they_are_among_many_copies(spark):
+    """More setbacks than rows may be broadcast: as marks they fit, and nothing is shuffled."""
+    made = [message(f"（2017）渝1民初{i % 3}号", sourceUrl=f"u{i // 2}") for i in range(200)]
+    rows = stream_rows(spark, made).coalesce(1)
+    marked = wash(rows, None, Staging(spark), broadcast_rows=10)
+    plan = marked.records._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    shuffled = wash(rows, None, Staging(spark), broadcast_rows=0)
+    assert Counter(map(tuple, marked.records.collect())) == Counter(
+        map(tuple, shuffled.records.collect())
+    )
+    assert Counter(f[:2] for f in fates(marked.records).values())["main", None] == 3
+
+
 def test_stop_between_batches_and_resume(spark, tmp_path):
     source, root, checkpoint = (str(tmp_path / n) for n in ("in", "store", "checkpoint"))
     for i in range(8):
