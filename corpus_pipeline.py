@@ -1,8 +1,10 @@
 """The corpus pipeline: stages that each work on what their predecessor kept.
 
 A stage deletes the intermediate tables of the stage before it: by then that one's result has
-been written. `run` keeps each stage's result as a table in the shared folder and returns the
-last; the tables of earlier stages are deleted when the next one has been written.
+been written. It bounds the bytes of an Arrow batch for its session, unless a bound is set there,
+as all stages share the executors' memory. `run` keeps each stage's result as a table in the
+shared folder and returns the last; the tables of earlier stages are deleted when the next one
+has been written.
 
 Every stage takes null and empty texts, null and repeated ids, rows equal throughout, very long
 texts, an empty table, and further columns of any name; all but the last return the columns they got.
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordwash.llm import decontaminate, exact_dedup, jaccard_join, quality
-from recordwash.llm.common import free_name, quoted, release_scratch, table
+from recordwash.llm.common import bound_batches, free_name, quoted, release_scratch, table
 from recordwash.llm.queries import encoded_digests
 from recordwash.plans.staging import Staging
 
@@ -22,13 +24,19 @@ from recordwash.plans.staging import Staging
 LEAST_QUALITY = 0.5
 
 
+def _begin(spark: SparkSession) -> None:
+    """What every stage does first."""
+    release_scratch()
+    bound_batches(spark)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text is scored at least `LEAST_QUALITY`.
 
     Null and empty texts are scored as empty; equal texts get equal scores and stay or go together;
     an empty table stays empty. Without labels of both kinds all scores are equal.
     """
-    release_scratch()
+    _begin(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=3, fold=1)
     score = free_name(docs, "score")
     scored = quality.add_score(docs, model, out=score)
@@ -41,7 +49,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are one group; a null id comes after all others; of rows equal throughout
     one stays.
     """
-    release_scratch()
+    _begin(spark)
     return exact_dedup.drop_copies(docs)
 
 
@@ -51,7 +59,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Texts without words and texts of fewer than five are compared as `jaccard_join` states; a null
     id comes after all others; of rows equal throughout one stays.
     """
-    release_scratch()
+    _begin(spark)
     return jaccard_join.drop_near_copies(docs)
 
 
@@ -60,13 +68,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows without words stay; rows equal throughout stay or go together.
     """
-    release_scratch()
+    _begin(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the ids of each text and of what they decode to; null counts as empty."""
-    release_scratch()
+    _begin(spark)
     return encoded_digests(docs)
 
 

@@ -97,6 +97,18 @@ def keep_for(operator: str, forget: Callable[[], None]) -> None:
     _kept_by[operator] = forget
 
 
+#: Bytes of an Arrow batch, for jobs that run several operators in one session. A task holds its
+#: batches on both sides, and executors don't give all of that memory back.
+BATCH_BYTES = "4m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes that go to Python workers at a time, unless the session has a bound set."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 #: Rows that a task works on at a time, so that its memory doesn't grow with the batch.
 SLICE_ROWS = 256
 

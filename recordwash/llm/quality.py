@@ -233,13 +233,12 @@ def bounded(rows: DataFrame) -> DataFrame:
     n_words = F.regexp_count("text", F.lit(r"\S+"))
     sized = rows.select("*", digest, F.greatest(F.lit(1), F.ceil(n_words / PASSAGE_WORDS)).alias("n"))
     firsts = sized.groupBy("doc_id").agg(F.min(F.struct("digest", "n")).alias("first"))
-    ordered = firsts.select("doc_id", "first.*").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    total, chosen = 0, []
-    for r in ordered:
-        if (total := total + r["n"]) > TRAINING_PASSAGES:
-            break
-        chosen.append((r["doc_id"], tuple(r["digest"])))
+    ordered = firsts.select("doc_id", "first.*").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
+    n_chosen = int(np.searchsorted(np.cumsum(ordered["n"].to_numpy()), TRAINING_PASSAGES, "right"))
+    chosen = ordered.select(["doc_id", "digest"]).slice(0, n_chosen)
     kind = rows.schema["doc_id"].dataType.simpleString()
+    # From Arrow it is a local table; rows of Python would start workers of another kind on each
+    # executor, with a daemon that stays.
     kept = rows.sparkSession.createDataFrame(
         chosen, f"doc_id {kind}, digest struct<col1:bigint,col2:string>"
     )

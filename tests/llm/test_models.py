@@ -159,3 +159,20 @@ def test_training_passages_are_bounded_by_whole_rows(spark, monkeypatch):
     assert some < every
     assert sum(max(1, -(-len(t.split()) // 64)) for _, t in some) <= 20
     assert quality.bounded(frame.limit(0)).collect() == []
+
+
+def test_the_choice_of_training_rows_starts_no_python_workers(spark, monkeypatch, capsys):
+    monkeypatch.setattr(quality, "TRAINING_PASSAGES", 21)
+    text = F.expr("repeat('word ', 64 * cast(id % 3 as int))").alias("text")
+    rows = spark.range(20).select(F.col("id").alias("doc_id"), text, F.lit(1.0).alias("label"))
+    kept = quality.bounded(rows)
+    kept.explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+    order = rows.orderBy(F.xxhash64("doc_id")).select("doc_id").collect()
+    total, want = 0, []
+    for r in order:
+        if (total := total + max(1, r["doc_id"] % 3)) > 21:
+            break
+        want.append(r["doc_id"])
+    assert 0 < len(want) < 20
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)

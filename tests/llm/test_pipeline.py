@@ -1,7 +1,9 @@
 import re
 
 import cases
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_decontaminate import words
 from test_jaccard_join import expected as near_classes
 
@@ -76,3 +78,20 @@ def test_awkward_documents(spark, sf_dir, tmp_path, make):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert found.columns == docs.columns
         assert found.count() <= docs.count()
+
+
+def test_arrow_batches_are_bounded(spark, sf_dir):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    for bound, most in [(None, 5 << 20), ("1m", 2 << 20)]:
+        session = spark.newSession()
+        if bound:
+            session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", bound)
+        text = F.expr("repeat('word ', 20000)").alias("text")
+        docs = session.range(200, numPartitions=1).select(F.col("id").alias("doc_id"), text)
+        corpus_pipeline.encode(session, docs, sf_dir)
+        found = [r["n"] for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) >= 200 * 100_000
+        assert max(found) <= most
