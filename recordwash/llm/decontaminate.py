@@ -10,6 +10,9 @@ matches. With a slop, terms may stand that far from their place, and phrases are
 The benchmark is taken in parts of about `PART_WORDS` words, dealt by their text: items of one
 text are one part. Where there are several, a part's matches are written before the next is read.
 
+A segment is one row of some 3 MB. `store_index` bounds the rows that a task holds while it writes and
+reads them, and Arrow batches are bounded too, so a task's memory doesn't grow with the size of its input.
+
 Defined results: null texts have no words; an item without words matches nothing; items of one
 id count once; an item without id is named "null"; rows of one doc_id each get their row; empty
 tables give empty or clean results; a very long text is in one segment, whole; other columns don't
@@ -31,7 +34,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordwash.llm.common import keep_for, quoted, row_digest, scratch
+from recordwash.llm.common import bound_batches, keep_for, quoted, row_digest, scratch
+from recordwash.plans.staging import Staging
 
 WINDOW = 13
 SEGMENT_WORDS = 500_000
@@ -40,6 +44,13 @@ PART_WORDS = 2_000_000
 PHRASES, EXPANDED = 1 << 15, 1 << 17
 #: A document is contaminated from this share of hit words on: 1 in 20.
 SHARE = 20
+#: By default Parquet's writer looks at the size of a page and of a row group from 100 rows on, which are
+#: some 300 MB of segments here; and a reader takes a row group's rows at once.
+SMALL_GROUPS = {
+    "parquet.block.size": str(16 << 20),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
 
 # What separates words, after lower-casing A-Z.
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -106,6 +117,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The index of all documents; store it before searching. `key` is a digest of the row."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(
         row_digest(docs).alias("key"), F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).alias("text"),
@@ -113,6 +125,13 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.mapInArrow(_segments, INDEX_SCHEMA)
 
 
+def store_index(
+    docs: DataFrame, staging: Staging, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The index as stored, in small row groups."""
+    return staging.store(build_index(docs, id_col, text_col), "index", **SMALL_GROUPS)
+
+
 @dataclass
 class Phrases:
     """Phrases as rows of term numbers, filled up with -1, and the items they come from."""
@@ -336,6 +355,7 @@ def find(
 
 def _found_in_parts(index: DataFrame, parts: Iterable[Broadcast], slop: int) -> DataFrame:
     """The matches of all parts; those of a part are written before the next is broadcast."""
+    bound_batches(index.sparkSession)
     staging, found, last = scratch(index.sparkSession), [], None
     for part in parts:
         if last is not None:
@@ -355,6 +375,7 @@ def document_hits(
     first = next(parts)
     second = next(parts, None)
     if second is None:
+        bound_batches(index.sparkSession)
         found = index.mapInArrow(partial(_hits, first), HIT_SCHEMA)
         return found.withColumn("contaminated", is_contaminated())
     return _hits_of_parts(index, chain([first, second], parts))
@@ -391,7 +412,7 @@ def decontaminate(
 ) -> DataFrame:
     """The rows whose document isn't contaminated, with all their columns."""
     staging = scratch(docs.sparkSession)
-    index = staging.store(build_index(docs, id_col, text_col), "index")
+    index = store_index(docs, staging, id_col, text_col)
     hits = document_hits(index, benchmark).where("contaminated").select("key").distinct()
     found = staging.store(hits, "hits")
     rows = docs.select(

@@ -48,7 +48,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    index = scratch(spark).store(decontaminate.build_index(docs), "index")
+    index = decontaminate.store_index(docs, scratch(spark))
     return decontaminate.document_hits(index, benchmark).select(
         "doc_id",
         "n_words",

@@ -63,8 +63,9 @@ class Staging:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("errorifexists").parquet(self.path(name))
+    def store(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """The frame as read back; `options` are Parquet's writer options."""
+        df.write.mode("errorifexists").options(**options).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def delete(self) -> None:

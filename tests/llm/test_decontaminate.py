@@ -5,9 +5,13 @@ from collections import Counter
 
 import cases
 import numpy as np
+import pyarrow as pa
+import pyarrow.dataset as ds
+from pyspark.sql import functions as F
 
 from recordwash.llm import decontaminate
 from recordwash.llm.decontaminate import WINDOW
+from recordwash.plans.staging import Staging
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -189,3 +193,31 @@ def test_time_of_many_phrases_on_one_segment():
     found = segment.search(wanted)
     assert time.perf_counter() - start < 4
     assert {1000 + 2 + i for i in range(100)} <= set(found[0][wanted.item_of[found[1]] == 5].tolist())
+
+
+def test_few_segments_are_held_at_once(spark):
+    """In one task's file a row group holds few segments, and so does a batch for Python."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    session = spark.newSession()
+    word = "transform(sequence(1, 500000), i -> hex(xxhash64(i, id)))"
+    text = F.expr(f"concat_ws(' ', {word})").alias("text")
+    docs = session.range(6, numPartitions=1).select(F.col("id").alias("doc_id"), text)
+    items = docs.where("doc_id = 3").select(
+        F.lit(1).alias("item_id"), F.substring_index("text", " ", 20).alias("text")
+    )
+    with Staging(session) as staging:
+        index = decontaminate.store_index(docs, staging)
+        path = staging.path("index").removeprefix("file://")
+        groups = [g for f in ds.dataset(path, format="parquet").get_fragments() for g in f.row_groups]
+        assert sum(g.num_rows for g in groups) == 6
+        assert max(g.num_rows for g in groups) <= 2
+        found = [r["n"] for r in index.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) == 6
+        assert max(found) <= 2
+        hit = decontaminate.document_hits(index, items).where("n_hit > 0").collect()
+        found = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in hit]
+        assert found == [(3, 500_000, 20, ["1"])]
