@@ -11,7 +11,7 @@ The benchmark is taken in parts of about `PART_WORDS` words, dealt by their text
 text are one part. Where there are several, a part's matches are written before the next is read.
 
 A segment is one row of some 3 MB. `store_index` bounds the rows that a task holds while it writes and
-reads them, and Arrow batches are bounded too, so a task's memory doesn't grow with the size of its input.
+reads them, and Arrow batches are bounded too, so neither grows with the size of a task's input.
 
 Defined results: null texts have no words; an item without words matches nothing; items of one
 id count once; an item without id is named "null"; rows of one doc_id each get their row; empty
